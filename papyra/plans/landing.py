@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyra.schema import FORMATS
+from papyra.session import one_task_per_shuffle_partition
 from papyra.sources import files
 from papyra.sources.lines import check_range, day_folders
 
@@ -44,10 +45,11 @@ def land(
     """
     rows = in_window(records, from_date, to_date)
     clear_days(spark, root, from_date, to_date)
-    (
+    writer = (
         rows.hint("rebalance", "format", "ds")
         .write.mode("append")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("format", "ds")
-        .json(root)
     )
+    with one_task_per_shuffle_partition(spark):
+        writer.json(root)
