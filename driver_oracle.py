@@ -52,7 +52,8 @@ raw AS (
            ' <u' || o_custkey || '@' || lower(n_name) || '.example.edu>' END AS submitter,
          CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE split_part(lower(n_name), '.', 1) END AS institution,
          CASE WHEN o_orderkey % 80 = 0 THEN NULL ELSE o_orderdate::DATE END AS updated,
-         o_orderdate::DATE AS day, o_orderpriority AS priority
+         o_orderdate::DATE AS day, date_trunc('month', o_orderdate)::DATE AS stamp,
+         o_orderpriority AS priority
   FROM orders
   JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey
@@ -142,11 +143,11 @@ merged AS (
 # Deliveries: the first metadata record, its redelivery, and the version record.
 DELIVERY = """
 sent AS (
-  SELECT k, 'arXiv' AS format, day AS ds, title FROM raw WHERE day(day) <> 31
+  SELECT k, 'arXiv' AS format, stamp AS ds, title FROM raw WHERE day(day) <> 31
   UNION ALL
-  SELECT k, 'arXiv', day + 1, 'rev ' || title FROM raw WHERE day(day) <> 31 AND priority = '2-HIGH'
+  SELECT k, 'arXiv', stamp + 1, 'rev ' || title FROM raw WHERE day(day) <> 31 AND priority = '2-HIGH'
   UNION ALL
-  SELECT k, 'arXivRaw', day, NULL FROM raw WHERE day(day) <> 30
+  SELECT k, 'arXivRaw', stamp, NULL FROM raw WHERE day(day) <> 30
 )
 """
 
@@ -162,7 +163,7 @@ HISTORICAL_COLUMNS = f"""
 INCREMENTAL_FROM = f"""
   FROM (
     SELECT *, CASE WHEN priority = '2-HIGH' THEN {clean("'rev ' || title")} ELSE t END AS latest_title,
-           coalesce(updated, CASE WHEN priority = '2-HIGH' THEN (day + 1)::DATE ELSE day END) AS latest_update
+           coalesce(updated, CASE WHEN priority = '2-HIGH' THEN (stamp + 1)::DATE ELSE stamp END) AS latest_update
     FROM tidy WHERE day(day) NOT IN (30, 31) AND n IS NOT NULL AND good = n
   )
 """
@@ -266,9 +267,8 @@ def statements() -> dict[str, str]:
         """),
         "malformed_lines": """
           SELECT format, strftime(day, '%Y-%m-%d') AS ds, 1 AS bad_lines
-          FROM (SELECT DISTINCT o_orderdate::DATE AS day FROM orders),
+          FROM (SELECT DISTINCT date_trunc('month', o_orderdate) AS day FROM orders),
                (SELECT unnest(['arXiv', 'arXivRaw']) AS format)
-          WHERE day(day) = 1
         """,
         "partition_fields": q("""
           SELECT strftime(submitted, '%Y') AS year, strftime(submitted, '%m') AS month,

@@ -46,6 +46,9 @@ def orders(spark: SparkSession, sf_dir: str, parts=ALL_PARTS) -> DataFrame:
         frame = frame.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     if "text" in parts:
         documents = read("documents")
+        # the text makes few narrow rows wide: spread them first, in the way the item joins need
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        frame = frame.repartition(tasks, "o_orderkey")
         frame = frame.withColumn("doc_id", F.col("o_orderkey") % documents.count()).join(
             documents.select("doc_id", "text", "lang", "source"), "doc_id"
         )
@@ -151,14 +154,14 @@ def snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing records of both formats, with format and day.
+    """Landing records of both formats, with format and day; delivered on the first of the month.
 
     Orders of the 31st have no metadata delivery and orders of the 30th no version delivery;
     high-priority orders are delivered again a day later with a new title.
     """
     iso = lambda day: F.date_format(day, "yyyy-MM-dd").alias("ds")
-    records = snapshot(spark, sf_dir).withColumn("day", F.to_date("o_orderdate"))
-    day = F.col("day")
+    records = snapshot(spark, sf_dir)
+    ordered, day = F.dayofmonth("o_orderdate"), F.to_date(F.trunc("o_orderdate", "month"))
 
     def metadata(frame: DataFrame, on: Column, title: Column) -> DataFrame:
         return frame.select(
@@ -168,9 +171,9 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
             _author_lists().alias("authors_parsed"),
         )
 
-    first = records.filter(F.dayofmonth(day) != 31)
+    first = records.filter(ordered != 31)
     again = first.filter(F.col("o_orderpriority") == "2-HIGH")
-    history = records.filter(F.dayofmonth(day) != 30).select(
+    history = records.filter(ordered != 30).select(
         F.lit(VERSIONS).alias("format"), iso(day), "id", "submitter", "versions",
         iso(day).alias("datestamp"),
     )
@@ -226,16 +229,16 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delivery_days(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Half-open range that covers every delivery."""
     low, high = table(spark, sf_dir, "orders").agg(
-        F.to_date(F.min("o_orderdate")), F.date_add(F.to_date(F.max("o_orderdate")), 2)
+        F.trunc(F.min("o_orderdate"), "month"), F.date_add(F.max("o_orderdate"), 2)
     ).first()
     return low.isoformat(), high.isoformat()
 
 
 def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One cut-off line per format for each order day that opens a month."""
-    days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    """One cut-off line per format and delivery day."""
+    days = table(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "month").alias("day")).distinct()
     formats = F.explode(F.array(*[F.lit(f) for f in FORMATS])).alias("format")
-    return days.filter(F.dayofmonth("day") == 1).select(
+    return days.select(
         formats, F.date_format("day", "yyyy-MM-dd").alias("ds"), F.lit('{"id": ').alias("value")
     )
 

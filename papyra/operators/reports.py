@@ -97,7 +97,8 @@ def enrich_with_journals(papers: DataFrame, journals: DataFrame) -> DataFrame:
 def behaviour_windows(events: DataFrame, window: str = "1 hour", watermark: str = "1 day") -> DataFrame:
     """Events per user, kind and tumbling window; the same call on a batch and on a stream, where
     the watermark bounds the state."""
-    grouped = events.withWatermark("ts", watermark).groupBy(
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    grouped = timed.withWatermark("ts", watermark).groupBy(
         F.window("ts", window).alias("window"), "user_id", "event_type"
     ).agg(F.count("*").alias("events"))
     return grouped.select(
