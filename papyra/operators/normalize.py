@@ -15,21 +15,32 @@ from papyra.schema import PAPER, PAPER_COLUMNS, PARTITION_COLUMNS
 
 
 def _with_times(records: DataFrame) -> DataFrame:
-    times = F.transform("versions", lambda v: dates.version_time(v["created"]))
-    return records.withColumn("times", times)
+    """Adds first and last version time, their mean gap, and why they are unusable.
 
+    All versions must be readable: one bad time refuses the record, and so does an empty list.
 
-def _date_reason() -> Column:
-    """All versions must be readable: one bad time refuses the record, and so does an empty list."""
-    return F.when(F.size("versions") == 0, F.lit("versions_empty")).when(
+    The four values leave through a generator so that a filter on them is not pushed below, where
+    it would read every time text again for each mention. Other columns pass by it and stay
+    subject to pruning and pushdown.
+    """
+    times = F.transform("versions", lambda v: dates.version_time(v["created"]))
+    reason = F.when(F.size("times") == 0, F.lit("versions_empty")).when(
         F.exists("times", lambda t: t.isNull()), F.lit("version_date")
     )
+    summary = F.struct(
+        F.array_min("times").alias("first_time"),
+        F.array_max("times").alias("last_time"),
+        dates.mean_gap_days(F.col("times")).alias("gap_days"),
+        reason.alias("date_reason"),
+    )
+    timed = records.withColumn("times", times)
+    return timed.select(*records.columns, F.inline(F.array(summary)))
 
 
 def _shared(run_ts) -> dict[str, Column]:
     categories = text.words(F.col("categories"))
     published = text.is_set(F.col("journal_ref"))
-    submitted = F.to_date(F.array_min("times"))
+    submitted = F.to_date("first_time")
     return {
         "paper_id": F.col("id"),
         "is_published": published,
@@ -40,9 +51,9 @@ def _shared(run_ts) -> dict[str, Column]:
         "categories": categories,
         "primary_category": text.first_or_empty(categories),
         "submitted_date": submitted,
-        "published_date": F.when(published, F.to_date(F.array_max("times"))),
+        "published_date": F.when(published, F.to_date("last_time")),
         "versions": F.col("versions"),
-        "update_frequency": dates.mean_gap_days(F.col("times")),
+        "update_frequency": F.col("gap_days"),
         "upload_db_time": F.lit(run_ts).cast("timestamp"),
     }
 
@@ -71,7 +82,7 @@ def historical_outcome(
         F.when(F.col("problem") == "malformed", F.col("problem")),
         F.when(F.col("id").isNull(), F.lit("missing_id")),
         F.col("problem"),
-        _date_reason(),
+        F.col("date_reason"),
     )
     return _project(
         _with_times(records), columns,
@@ -97,7 +108,7 @@ def incremental_outcome(paired: DataFrame, run_ts: str) -> DataFrame:
         F.when(F.col("id").isNull(), F.lit("missing_id")),
         F.col("problem"),
         F.when(F.col("versions").isNull(), F.lit("versions_absent")),
-        _date_reason(),
+        F.col("date_reason"),
     )
     return _project(_with_times(paired), columns, [reason.alias("reason")])
 

@@ -51,6 +51,8 @@ def local_session(cores: int | str = "*", name: str = "papyra", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.enabled", "true")
+        # a few megabytes of version texts are seconds of date parsing: keep all cores on them
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
