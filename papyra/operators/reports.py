@@ -63,9 +63,14 @@ def similar_papers(papers: DataFrame, paper_id: str, limit: int = 10) -> DataFra
     terms = F.array_distinct(text.words(F.lower(F.concat_ws(" ", "title", "abstract"))))
     sets = papers.select("paper_id", terms.alias("terms"))
     probe = sets.filter(F.col("paper_id") == paper_id).select(F.max("terms")).scalar()
-    shared = F.size(F.array_intersect("terms", probe))
-    score = F.try_divide(shared, F.size("terms") + F.size(probe) - shared)
-    scored = sets.filter(F.col("paper_id") != paper_id).select("paper_id", score.alias("score"))
+    # counted once per paper: the score filter stays above the generator
+    counts = F.struct(
+        F.size(F.array_intersect("terms", probe)).alias("shared"),
+        (F.size("terms") + F.size(probe)).alias("both"),
+    )
+    counted = sets.filter(F.col("paper_id") != paper_id).select("paper_id", F.inline(F.array(counts)))
+    score = F.try_divide(F.col("shared"), F.col("both") - F.col("shared"))
+    scored = counted.select("paper_id", score.alias("score"))
     return scored.filter("score > 0").orderBy(F.desc("score"), "paper_id").limit(limit)
 
 
