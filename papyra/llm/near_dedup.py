@@ -13,12 +13,13 @@ never expanded into pairs. ``BANDS`` bands of ``ROWS`` coordinates give the buck
 1. every class is compared with the least class that it meets in any of its buckets;
 2. in each bucket that holds more than one component, with the least and then with the greatest
    class of the bucket;
-3. where a bucket still holds more than one component, its classes of different components are
-   compared with each other.
+3. what still meets in buckets without being in one component is a family; its classes are dealt in
+   blocks of about ``BLOCK``, and each pair of blocks is compared by an inverted index of one of them.
 
 A comparison reads both whole shingle sets. Pairs that are in one component already need no
-comparison: they cannot change the result. Components are the least class reachable, found by
-repeated minima along confirmed links with path halving.
+comparison: they cannot change the result. No pair is written unless it is a link that joins two
+components. Components are the least class reachable, found by repeated minima along confirmed links
+with path halving.
 
 Large groups are dealt by (centre, salt), the centre's text once per ``MEMBERS_PER_TASK_GROUP`` members,
 and compared as a stream that holds one centre's set at a time. Texts are shuffled once, and only
@@ -44,6 +45,7 @@ from papyra.session import scratch
 COORDINATES = 96
 BANDS, ROWS = 24, 4
 MEMBERS_PER_TASK_GROUP = 256
+BLOCK = 512
 U64 = np.uint64
 
 
@@ -130,6 +132,74 @@ def _compare(k: int, percent: int):
     return run
 
 
+class _Block:
+    """Sets of one block and their inverted index."""
+
+    def __init__(self):
+        self.ids, self.components, self.sets, self.index = [], [], [], None
+
+    def add(self, id_, component, values):
+        self.ids.append(id_)
+        self.components.append(component)
+        self.sets.append(values)
+
+    def similar(self, values: np.ndarray, percent: int) -> list[int]:
+        """Places of the members whose sets are similar enough to this one."""
+        if self.index is None:
+            sizes = np.array([len(v) for v in self.sets])
+            held = np.concatenate(self.sets)
+            order = np.argsort(held, kind="stable")
+            self.index = held[order], np.repeat(np.arange(len(sizes)), sizes)[order], sizes
+        held, owner, sizes = self.index
+        low, high = np.searchsorted(held, values, "left"), np.searchsorted(held, values, "right")
+        shared = np.bincount(owner[tb.gather_ranges(low, high - low)], minlength=len(sizes))
+        return np.flatnonzero((shared > 0) & (100 * shared >= percent * (sizes + len(values) - shared))).tolist()
+
+
+def _compare_blocks(k: int, percent: int):
+    """Rows (family, i, j, side, id, component, text) sorted so: side 0 is held, side 1 goes by it; where i
+    is j, side 0 is compared with itself."""
+
+    def run(batches):
+        key, block, links, joined = None, None, [], {}
+
+        def find(x):
+            while joined.get(x, x) != x:
+                x = joined[x]
+            return x
+
+        def compare(id_, component, values):
+            for place in block.similar(values, percent):
+                a, b = find(component), find(block.components[place])
+                if a != b:
+                    joined[max(a, b)] = min(a, b)
+                    links.append((block.ids[place], id_))
+
+        def finish():
+            if key is not None and key[1] == key[2]:
+                for member in zip(block.ids, block.components, block.sets):
+                    compare(*member)
+
+        for batch in batches:
+            for part in tb.slices(batch, "text"):
+                sets, places = tb.shingle_sets(part.column(6), k)
+                at = places.tolist()
+                for r, (family, i, j, side, id_, component) in enumerate(zip(*(part.column(c).to_pylist() for c in range(6)))):
+                    if key != (family, i, j):
+                        finish()
+                        key, block, joined = (family, i, j), _Block(), {}
+                    own = sets[at[r] : at[r + 1]]
+                    if side == 0:
+                        block.add(id_, component, own.copy())
+                    elif block.ids:
+                        compare(id_, component, own)
+        finish()
+        a, b = zip(*links) if links else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
 class _Job:
     """Working tables of one run, below one folder."""
 
@@ -160,6 +230,25 @@ class _Job:
         dealt = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "kind", "id")
         return self.keep(dealt.mapInArrow(_compare(self.k, self.percent), "a long, b long"))
 
+    def links_in_families(self, members: DataFrame, texts: DataFrame) -> DataFrame:
+        """Links between components among classes that meet in buckets: (bucket, id, label, least)."""
+        alone = members.select("id").distinct().withColumn("label", F.col("id"))
+        meets = members.select(F.col("least").alias("a"), F.col("id").alias("b")).where("a <> b").distinct()
+        # the least class of a bucket may be in no unresolved bucket itself
+        alone = alone.unionAll(meets.select(F.col("a").alias("id"), F.col("a").alias("label"))).distinct()
+        families = self.components(self.keep(alone), meets).withColumnRenamed("label", "family")
+        blocks = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        labels = members.groupBy("id").agg(F.min("label").alias("component"))
+        own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+        dealt = (
+            families.join(labels, "id").join(blocks, "family").withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .join(texts, "id")
+            .select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                    (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "component", "text")
+            .repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "side", "id"))
+        return self.keep(dealt.mapInArrow(_compare_blocks(self.k, self.percent), "a long, b long"))
+
     def components(self, labels: DataFrame, links: DataFrame) -> DataFrame:
         """Labels (id, label) after joining what the links join; links may repeat."""
         ends = links.join(labels.select(F.col("id").alias("a"), F.col("label").alias("x")), "a").join(
@@ -218,13 +307,11 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
             if members.isEmpty():
                 break
             if step == "all":
-                left = members.select("bucket", F.col("id").alias("a"), F.col("label").alias("x"))
-                right = members.select("bucket", F.col("id").alias("b"), F.col("label").alias("y"))
-                pairs = left.join(right, "bucket").where("a < b AND x <> y").select("a", "b")
-            else:
-                other = labels.select(F.col("id").alias(step), F.col("label").alias("x"))
-                pairs = members.join(other, step).where("x <> label").select(
-                    F.least("id", step).alias("a"), F.greatest("id", step).alias("b"))
+                labels = job.components(labels, job.links_in_families(members, texts))
+                break
+            other = labels.select(F.col("id").alias(step), F.col("label").alias("x"))
+            pairs = members.join(other, step).where("x <> label").select(
+                F.least("id", step).alias("a"), F.greatest("id", step).alias("b"))
             fresh = job.keep(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
             labels = job.components(labels, job.verified(fresh, texts))
             tried = tried.unionAll(fresh)
