@@ -18,8 +18,8 @@ never expanded into pairs. ``BANDS`` bands of ``ROWS`` coordinates give the buck
 
 A comparison reads both whole shingle sets. Pairs that are in one component already need no
 comparison: they cannot change the result. No pair is written unless it is a link that joins two
-components. Components are the least class reachable, found by repeated minima along confirmed links
-with path halving.
+components. Components are the least class reachable: every class points to its least neighbour, the
+pointers are followed, and the links are drawn again between what they lead to, until none is left.
 
 Large groups are dealt by (centre, salt), the centre's text once per ``MEMBERS_PER_TASK_GROUP`` members,
 and compared as a stream that holds one centre's set at a time. Texts are shuffled once, and only
@@ -254,23 +254,25 @@ class _Job:
         ends = links.join(labels.select(F.col("id").alias("a"), F.col("label").alias("x")), "a").join(
             labels.select(F.col("id").alias("b"), F.col("label").alias("y")), "b").select("x", "y")
         ends = ends.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
-        edges = self.keep(ends)
-        if edges.isEmpty():
+        edges, moved = self.keep(ends), None
+        while not edges.isEmpty():
+            both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = self.keep(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("p")))
+            # follow the pointer of the pointer, then draw the links between what is left
+            up = least.select(F.col("u").alias("p"), F.col("p").alias("root"))
+            step = self.keep(least.join(up, "p").select(F.col("u"), "root"))
+            other = step.select(F.col("u").alias("v"), F.col("root").alias("other"))
+            if moved is None:
+                moved = step.select(F.col("u").alias("label"), "root")
+            else:
+                onward = step.select(F.col("u").alias("root"), F.col("root").alias("next"))
+                moved = self.keep(moved.join(onward, "root", "left").select(
+                    "label", F.coalesce("next", "root").alias("root")))
+            edges = self.keep(
+                edges.join(step, "u").join(other, "v").where("root <> other")
+                .select(F.greatest("root", "other").alias("u"), F.least("root", "other").alias("v")).distinct())
+        if moved is None:
             return labels
-        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        root = self.keep(both.select(F.col("u").alias("id")).distinct().withColumn("root", F.col("id")))
-        while True:
-            near = both.join(root.select(F.col("id").alias("v"), F.col("root").alias("r")), "v").select(
-                F.col("u").alias("id"), "r")
-            least = near.unionAll(root.select("id", F.col("root").alias("r"))).groupBy("id").agg(F.min("r").alias("r"))
-            # follow the label of the label: halves the way to the least one
-            up = root.select(F.col("id").alias("r"), F.col("root").alias("up"))
-            new = self.keep(
-                least.join(up, "r").select("id", F.least("r", "up").alias("new")).join(root, "id"))
-            if new.where("new <> root").isEmpty():
-                break
-            root = new.select("id", F.col("new").alias("root"))
-        moved = root.select(F.col("id").alias("label"), "root")
         return self.keep(labels.join(moved, "label", "left").select(
             "id", F.coalesce("root", "label").alias("label")))
 
