@@ -108,7 +108,8 @@ def gram_counts(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """gram, target, every: counts over all documents; ``targets`` holds the doc_id of the targets."""
     ship(docs.sparkSession)
     wanted = targets.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("is_target", F.lit(True))
-    flagged = docs.select("doc_id", "text").join(wanted, "doc_id", "left").select(
+    # labels grow with the documents, so they are joined by a shuffle and never broadcast
+    flagged = docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left").select(
         F.col("text").cast("string").alias("text"), F.coalesce("is_target", F.lit(False)).alias("target"))
     return flagged.mapInArrow(_count, "gram int, target long, every long").groupBy("gram").agg(
         F.sum("target").alias("target"), F.sum("every").alias("every"))
