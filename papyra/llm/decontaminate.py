@@ -191,6 +191,6 @@ def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of the documents that contain no item; rows without an id are kept if their text is."""
+    """The rows of the documents that contain no item; rows without an id go together."""
     bad = contained_items(docs, items).select("doc_id").distinct()
     return docs.join(bad, docs.doc_id.eqNullSafe(bad.doc_id), "left_anti")

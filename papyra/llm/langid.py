@@ -163,11 +163,11 @@ def train(rows: DataFrame, label: str = "lang", text: str = "text", by: str = "d
 
 
 def predict(rows: DataFrame, network: Network | None, text: str = "text") -> DataFrame:
-    """The rows with lang_pred and score added."""
+    """The rows with lang_pred and score added (or replaced)."""
     spark = ship(rows.sparkSession)
     sent = spark.sparkContext.broadcast(network)
 
-    kept = [F.col(f"`{c}`") for c in rows.columns]
+    kept = [F.col(f"`{c}`") for c in rows.columns if c not in ("lang_pred", "score")]
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     shaped = rows.select(*kept, F.when(letters, F.col(text)).alias("__text"))
     schema = shaped.drop("__text").schema.add("lang_pred", "string").add("score", "double")

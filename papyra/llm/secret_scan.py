@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from papyra.llm import textbytes as tb
 from papyra.llm.ship import ship
@@ -141,8 +142,9 @@ SPANS = pa.list_(pa.struct([
 
 
 def scan(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """The rows with their spans added in ``secrets``: array of kind, start, end, name, score."""
+    """The rows with their spans added (or replaced) in ``secrets``: array of kind, start, end, name, score."""
     ship(docs.sparkSession)
+    docs = docs.drop("secrets")
     place = docs.columns.index(text_column)
 
     def run(batches):
@@ -160,9 +162,8 @@ def scan(docs: DataFrame, text_column: str = "text") -> DataFrame:
 
 
 def _with(docs: DataFrame, name: str, kind: str):
-    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
-
-    return StructType([*docs.schema.fields, StructField(name, _parse_datatype_string(kind))])
+    schema = docs.schema
+    return T.StructType([*schema.fields, T.StructField(name, T.DataType.fromDDL(kind))])
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:

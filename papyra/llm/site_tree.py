@@ -8,9 +8,9 @@ its blocks. With m different pages that hold an element,
 * content importance: 1 less the mean, over its texts, of log(pages that hold the text) / log(m): 1 if
   every page has a text of its own, 0 if all share it;
 * importance of a branch: the mean over the elements in it (content where there is text, else
-  presentation), each weighted by its pages and by ``DECAY`` per level down.
+  presentation, which weighs 1 - ``DECAY`` as much), each weighted by its pages and by ``DECAY`` per level.
 
-Branches under ``LEAST_IMPORTANCE`` are removed from each page. Little can be said from few pages, so this
+Branches under ``LEAST_IMPORTANCE`` in which no element's own text reaches it are removed from each page. Little can be said from few pages, so this
 needs ``LEAST_PAGES`` different ones. Two things are known about every site beforehand: elements
 whose tag, role, class or id names a menu, advert, notice, form and so on (``NOISE_*``) are removed, and
 headings and paragraphs that stand right in an article are kept, as the same article may be published
@@ -232,7 +232,7 @@ def _features(batches):
 
 
 def branch_importance(pages: DataFrame) -> DataFrame:
-    """host, key, pages, importance of every branch, from (host, html)."""
+    """host, key, pages, importance of every branch, and the best of its texts, from (host, html)."""
     ship(pages.sparkSession)
     seen = pages.select("host", "html").mapInArrow(_features, FEATURES)
     # a row per different page and element; copies of a page fall together before they are counted
@@ -254,13 +254,15 @@ def branch_importance(pages: DataFrame) -> DataFrame:
     importance = F.when(F.col("m") < 2, 1.0).when(
         F.col("texts").isNotNull(), 1 - F.col("content") / (F.col("texts") * log_m)
     ).otherwise((log_m - F.col("style") / F.col("m")) / log_m)
-    leaf = per_key.select("host", "m", "path", importance.alias("own"), "key")
+    leaf = per_key.select("host", "m", "path", importance.alias("own"), F.col("texts").isNotNull().alias("has_text"))
     above = leaf.select(
-        "host", "m", "own", F.size("path").alias("depth"), F.posexplode("path").alias("at", "above"))
-    weight = F.col("m") * F.pow(F.lit(DECAY), F.col("depth") - 1 - F.col("at"))
+        "host", "m", "own", "has_text", F.size("path").alias("depth"), F.posexplode("path").alias("at", "above"))
+    weight = F.col("m") * F.pow(F.lit(DECAY), F.col("depth") - 1 - F.col("at")) * F.when(
+        F.col("has_text"), 1.0).otherwise(1 - DECAY)
     return above.groupBy("host", F.col("above").alias("key")).agg(
         F.max(F.when(F.col("at") == F.col("depth") - 1, F.col("m"))).alias("pages"),
-        (F.sum(weight * F.col("own")) / F.sum(weight)).alias("importance"))
+        (F.sum(weight * F.col("own")) / F.sum(weight)).alias("importance"),
+        F.coalesce(F.max(F.when(F.col("has_text"), F.col("own"))), F.lit(0.0)).alias("best"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -272,7 +274,7 @@ def extract(pages: DataFrame) -> DataFrame:
     # by host, where adaptive execution splits the pages of a large host
     path = scratch(spark, "site-tree")
     branch_importance(rows).where(
-        (F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)
+        (F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE) & (F.col("best") < LEAST_IMPORTANCE)
     ).groupBy("host").agg(F.collect_list("key").alias("removed")).write.parquet(path)
     removed = spark.read.schema("host string, removed array<long>").parquet(path)
 
