@@ -41,9 +41,9 @@ ver AS (
 ),
 raw AS (
   SELECT o_orderkey AS k, lpad(o_orderkey::VARCHAR, 7, '0') AS id,
-         CASE WHEN o_orderkey % 50 = 0 THEN ''
+         CASE WHEN (o_orderkey // (SELECT count(*) FROM documents)) % 50 = 7 THEN ''
               ELSE split_part(text, chr(10), 1) || chr(10) || '  ' || source || '  ' || lang END AS title,
-         CASE WHEN o_orderkey % 40 = 0 THEN '' ELSE text END AS abstract,
+         CASE WHEN (o_orderkey // (SELECT count(*) FROM documents)) % 40 = 3 THEN '' ELSE text END AS abstract,
          CASE WHEN o_orderkey % 3 = 0 THEN '10.1000/' || o_orderkey ELSE '' END AS doi,
          CASE WHEN o_orderkey % 60 = 0 THEN []
               ELSE [lower(c_mktsegment) || '.' || o_orderpriority[1], lower(n_name)] END AS categories,
@@ -221,7 +221,7 @@ def statements() -> dict[str, str]:
         "normalize_incremental": _incremental(stored=False),
         "incremental_load": _incremental(stored=True),
         "stream_incremental": _incremental(stored=True),
-        "clean_text": q("SELECT id AS paper_id, t AS title FROM tidy"),
+        "clean_text": q("SELECT id AS paper_id, t AS title, md5(a) AS abstract_md5 FROM tidy"),
         "categories_split": q(
             "SELECT id AS paper_id, coalesce(categories[1], '') AS primary_category, "
             "array_to_string(categories, '|') AS categories FROM raw"

@@ -127,7 +127,10 @@ def normalize_incremental(spark, sf_dir):
 
 def clean_text(spark, sf_dir):
     records = fx.snapshot(spark, sf_dir, ("text",))
-    return records.select(F.col("id").alias("paper_id"), text.clean_text(F.col("title")).alias("title"))
+    return _out(records.select(
+        F.col("id").alias("paper_id"), text.clean_text(F.col("title")).alias("title"),
+        text.clean_text(F.col("abstract")).alias("abstract"),
+    ))
 
 
 def categories_split(spark, sf_dir):

@@ -14,6 +14,10 @@ ISO_FRAGMENT = r"(\d{4}-\d{2}-\d{2})"
 DAY_MONTH_FRAGMENT = r"(\d{2} \w{3} \d{4})"
 DAY_MONTH_FORMAT = "dd MMM yyyy"
 
+_ISO_TIME = r"([T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?\s*$"
+ISO_TEXT = r"^\s*\d{4}-\d{2}-\d{2}" + _ISO_TIME
+BASIC_ISO_TEXT = r"^\s*\d{8}" + _ISO_TIME
+
 MICROS_PER_DAY = 86_400_000_000
 
 
@@ -25,7 +29,9 @@ def version_time(text: Column) -> Column:
 
 
 def iso_date(text: Column) -> Column:
-    return F.when(text.rlike(r"^\s*\d{4}"), text.try_cast("date"))
+    """A whole ISO text: date, optional time and zone, with or without hyphens; else null."""
+    basic = F.try_to_timestamp(F.substring(F.trim(text), 1, 8), F.lit("yyyyMMdd")).cast("date")
+    return F.when(text.rlike(ISO_TEXT), text.try_cast("date")).when(text.rlike(BASIC_ISO_TEXT), basic)
 
 
 def lenient_time(text: Column) -> Column:

@@ -100,7 +100,7 @@ def stream_landing(spark: SparkSession, root: str, glob: str = "*.json") -> Data
 def parse(lines: DataFrame) -> DataFrame:
     """Adds ``record``: null for blank lines, malformed JSON and JSON that is no object."""
     record = F.expr("try_parse_json(value)")
-    return lines.filter(F.trim("value") != "").withColumn("record", record)
+    return lines.filter(F.col("value").rlike(r"\S")).withColumn("record", record)
 
 
 def malformed(lines: DataFrame) -> DataFrame:

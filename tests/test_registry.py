@@ -3,6 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+import driver_oracle
+import driver_queries
+from papyra import fixtures as fx
 from tests.compare import differences, duck
 
 # the rest is compared with ``python tests/compare.py``, which takes some minutes
@@ -16,7 +19,14 @@ QUICK = [
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    own = set(driver_queries.registry())
+    assert own == set(driver_oracle.statements()) and own <= set(entry.queries())
+
+
+def test_every_document_reaches_an_abstract(spark, small):
+    papers = fx.snapshot(spark, small, ("text",)).where("abstract <> ''")
+    assert papers.select("abstract").distinct().count() == (
+        spark.read.parquet(f"{small}/documents.parquet").where("text <> ''").select("text").distinct().count())
 
 
 @pytest.mark.parametrize("name", QUICK)

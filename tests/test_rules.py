@@ -192,3 +192,18 @@ def test_last_record_wins(spark):
     history = {"versions": GOOD}
     row = landed(spark, [{"title": "first"}, {"title": "last"}, {"doi": "d"}], history)
     assert (row.title, row.doi) == ("", "d")
+
+
+@pytest.mark.parametrize("given, day", [
+    ("2007-04-02", "2007-04-02"), ("2007-04-02T10:20:30Z", "2007-04-02"), (" 20070402 ", "2007-04-02"),
+    ("2007-04-02 junk", None), ("2007-04-02Tfoo", None), ("2007", None), ("", None), (None, None),
+])
+def test_iso_date_takes_whole_texts_only(spark, given, day):
+    frame = spark.createDataFrame([(given,)], "t string")
+    got = frame.select(dates.iso_date(F.col("t"))).first()[0]
+    assert (str(got) if got else None) == day
+
+
+@pytest.mark.parametrize("line", ["", "  ", "\t", "\r"])
+def test_blank_lines_are_skipped(spark, line):
+    assert lines.malformed(spark.createDataFrame([(line,)], "value string")).count() == 0
