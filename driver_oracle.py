@@ -47,11 +47,16 @@ raw AS (
          CASE WHEN o_orderkey % 3 = 0 THEN '10.1000/' || o_orderkey ELSE '' END AS doi,
          CASE WHEN o_orderkey % 60 = 0 THEN []
               ELSE [lower(c_mktsegment) || '.' || o_orderpriority[1], lower(n_name)] END AS categories,
-         CASE WHEN o_orderstatus = 'F' THEN 'J. ' || o_orderpriority ELSE '' END AS journal_ref,
-         c_name || CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE
-           ' <u' || o_custkey || '@' || lower(n_name) || '.example.edu>' END AS submitter,
+         CASE WHEN o_orderstatus = 'F' THEN 'J. ' || split_part(o_orderpriority, '-', 2) || (o_orderkey % 90 + 1)
+              || ':' || o_orderkey || ' (' || year(o_orderdate) || ')' ELSE '' END AS journal_ref,
+         c_name || CASE o_orderkey % 5 WHEN 0 THEN ''
+           WHEN 1 THEN ' u' || o_custkey || '@' || lower(n_name) || '.example.edu'
+           ELSE ' <u' || o_custkey || '@' || lower(n_name) || '.example.edu>' END AS submitter,
          CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE split_part(lower(n_name), '.', 1) END AS institution,
-         CASE WHEN o_orderkey % 80 = 0 THEN NULL ELSE o_orderdate::DATE END AS updated,
+         CASE WHEN o_orderkey % 5 <= 1 THEN '' ELSE split_part(lower(n_name), '.', 1) END AS bracketed,
+         CASE WHEN o_orderkey % 80 <= 1 THEN NULL ELSE o_orderdate::DATE END AS updated,
+         CASE o_orderkey % 80 WHEN 0 THEN '' WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d or so')
+           WHEN 2 THEN strftime(o_orderdate, '%Y%m%d') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS updated_text,
          o_orderdate::DATE AS day, date_trunc('month', o_orderdate)::DATE AS stamp,
          o_orderpriority AS priority
   FROM orders
@@ -186,6 +191,12 @@ def q(select: str, *parts: str) -> str:
     return f"WITH {', '.join([COMMON, *parts])} {select}"
 
 
+# Why an id of the deliveries is refused, null for a good one.
+REFUSAL = """
+  CASE WHEN day(day) IN (30, 31) THEN 'unpaired' WHEN n IS NULL THEN 'versions_absent'
+       WHEN good < n THEN 'version_date' END"""
+
+
 def _state_columns(null_if_empty: bool = True) -> str:
     return f"""
       paper_id, is_published, title, md5(abstract) AS abstract_md5, doi, journal_ref, institution,
@@ -196,18 +207,18 @@ def _state_columns(null_if_empty: bool = True) -> str:
     """
 
 
-def _incremental(stored: bool) -> str:
+def _incremental(stored: bool, more: str = "") -> str:
     categories = "array_to_string(categories, '|')"
     if stored:
         categories = f"CASE WHEN len(categories) > 0 THEN {categories} END"
     return q(f"""
       SELECT id AS paper_id, is_published, latest_title AS title, md5(a) AS abstract_md5, doi,
-             journal_ref, institution, {categories} AS categories, primary_category,
+             journal_ref, bracketed AS institution, {categories} AS categories, primary_category,
              {iso('lo')} AS submitted_date,
              CASE WHEN is_published THEN {iso('hi')} END AS published_date,
              {iso('latest_update')} AS update_date, authors, versions, n AS version_count,
              round(gap, 6) AS update_frequency,
-             CASE WHEN is_published THEN (hi::DATE - lo::DATE)::DOUBLE END AS submission_to_publication
+             CASE WHEN is_published THEN (hi::DATE - lo::DATE)::DOUBLE END AS submission_to_publication {more}
       {INCREMENTAL_FROM}
     """)
 
@@ -230,7 +241,7 @@ def statements() -> dict[str, str]:
             "SELECT id AS paper_id, rn - 1 AS pos, s_name AS last_name, p_brand AS first_name "
             "FROM raw JOIN item USING (k) WHERE k % 70 <> 0"
         ),
-        "institution_bracketed": q("SELECT id AS paper_id, institution FROM raw"),
+        "institution_bracketed": q("SELECT id AS paper_id, bracketed AS institution FROM raw"),
         "institution_bare": q("SELECT id AS paper_id, institution FROM raw"),
         "version_dates": q(
             f"SELECT id AS paper_id, {iso('submitted')} AS submitted_date, {iso('published')} AS published_date FROM paper"
@@ -251,11 +262,68 @@ def statements() -> dict[str, str]:
             FROM tidy)
         """),
         "run_stats": q("""
-          SELECT unnest(['extract', 'transform']) AS stage, unnest([count(*), count(*)]) AS input,
+          SELECT unnest(['extract', 'transform']) AS stage,
+                 unnest([count(*) + count(*) FILTER (k % 30 = 0), count(*)]) AS input,
+                 unnest([count(*), count(*) FILTER (n IS NULL OR good = n)]) AS output,
+                 unnest([count(*) FILTER (k % 30 = 0), count(*) FILTER (good < n)]) AS failed
+          FROM tidy
+        """),
+        "historical_load_counts": q("""
+          SELECT unnest(['extract', 'transform']) AS stage,
+                 unnest([count(*) + count(*) FILTER (k % 30 = 0), count(*)]) AS input,
                  unnest([count(*), count(*) FILTER (n IS NULL OR good = n)]) AS output,
-                 unnest([0, count(*) FILTER (good < n)]) AS failed
+                 unnest([count(*) FILTER (k % 30 = 0), count(*) FILTER (good < n)]) AS failed,
+                 unnest([count(*) FILTER (k % 30 = 0), count(*) FILTER (good < n)]) AS quarantined,
+                 true AS timed
           FROM tidy
         """),
+        "stream_then_batch_lake": historical,
+        "stream_late_half": _incremental(stored=True, more=", true AS reoffer"),
+        "incremental_load_counts": q(f"""
+          , ids AS (SELECT {REFUSAL} AS reason FROM tidy)
+          SELECT 'extract' AS stage, (SELECT count(*) FROM sent) + 4 * days AS input,
+                 (SELECT count(*) FROM sent) AS output, 4 * days AS failed, true AS timed
+          FROM (SELECT count(DISTINCT stamp) AS days FROM raw)
+          UNION ALL SELECT 'transform', count(*), count(*) FILTER (reason IS NULL), count(reason), true FROM ids
+        """, DELIVERY),
+        "incremental_quarantine": q(f"""
+          , refused AS (
+            SELECT k, id AS paper_id, {REFUSAL} AS reason FROM tidy WHERE {REFUSAL} IS NOT NULL),
+          latest AS (SELECT k, format, max(ds) AS ds FROM sent GROUP BY 1, 2)
+          SELECT paper_id, reason, format, {iso('ds')} AS ds, NULL::VARCHAR AS line
+          FROM refused JOIN latest USING (k)
+          UNION ALL
+          SELECT '', reason, format, {iso('stamp')}, line
+          FROM (SELECT DISTINCT stamp FROM raw), (SELECT unnest(['arXiv', 'arXivRaw']) AS format),
+               (SELECT unnest(['malformed', 'missing_id']) AS reason,
+                       unnest(['{{"id": ', '{{"id": "", "title": "No id"}}']) AS line)
+        """, DELIVERY),
+        "incremental_replay": q(f"""
+          , refused AS (
+            SELECT CASE reason WHEN 'version_date' THEN 'accepted' ELSE reason END AS reason, lines
+            FROM (SELECT {REFUSAL} AS reason, CASE WHEN day(day) IN (30, 31) THEN 1 ELSE 2 END AS lines FROM tidy)
+            WHERE reason IS NOT NULL
+            UNION ALL
+            SELECT unnest(['malformed', 'malformed', 'missing_id', 'missing_id']), 1
+            FROM (SELECT DISTINCT stamp FROM raw))
+          SELECT reason, count(*) AS rows, sum(lines)::BIGINT AS lines FROM refused GROUP BY reason
+        """),
+        "window_counts": q("""
+          SELECT format, count(*) FILTER (k % 97 <> 0 AND year(ds) = 1996) AS landed,
+                 count(*) FILTER (k % 97 <> 0 AND year(ds) <> 1996) AS outside,
+                 count(*) FILTER (k % 97 = 0) AS undated
+          FROM sent GROUP BY format
+        """, DELIVERY),
+        "quality_alerts": q("""
+          , yearly AS (
+            SELECT strftime(submitted, '%Y') AS run, 100.0 * count(*) FILTER (t = '') / count(*) AS missing_titles,
+                   100.0 * count(*) FILTER (a = '') / count(*) AS missing_abstracts,
+                   100.0 * count(*) FILTER (authors IS NULL) / count(*) AS missing_authors
+            FROM paper GROUP BY 1),
+          long AS (UNPIVOT yearly ON missing_titles, missing_abstracts, missing_authors INTO NAME metric VALUE pct),
+          capped AS (SELECT *, CASE metric WHEN 'missing_titles' THEN 2.0 WHEN 'missing_authors' THEN 1.4 END::DOUBLE AS most FROM long)
+          SELECT run, metric, round(pct, 6) AS pct, most AS limit_pct, coalesce(pct > most, false) AS alert FROM capped
+        """),
         "run_metrics": q("""
           SELECT 'r1' AS run, unnest(['extract', 'transform']) AS stage,
                  unnest([count(*), count(*)]) AS input,
@@ -397,11 +465,18 @@ def statements() -> dict[str, str]:
         "wh_paper_categories": q(
             "SELECT DISTINCT paper_id, category_id, category_id = primary_category AS is_primary FROM tag", TAGGED
         ),
-        "fk_check": """
-          SELECT unnest(['paper_authors', 'paper_authors', 'paper_categories', 'paper_categories', 'categories']) AS table_name,
-                 unnest(['paper_id', 'author_id', 'paper_id', 'category_id', 'parent_category_id']) AS column_name,
-                 0 AS orphans
-        """,
+        "fk_check": q("""
+          , pa AS (SELECT DISTINCT k, author_id FROM credit),
+          pc AS (SELECT DISTINCT k, category_id FROM tag),
+          used AS (SELECT DISTINCT category_id AS c FROM tag),
+          every AS (SELECT c FROM used UNION SELECT split_part(c, '.', 1) FROM used)
+          SELECT 'paper_authors' AS table_name, 'paper_id' AS column_name, count(*) AS orphans FROM pa WHERE k % 11 = 0
+          UNION ALL SELECT 'paper_authors', 'author_id', count(*) FROM pa WHERE author_id LIKE 'a%'
+          UNION ALL SELECT 'paper_categories', 'paper_id', count(*) FROM pc WHERE k % 11 = 0
+          UNION ALL SELECT 'paper_categories', 'category_id', count(*) FROM pc WHERE category_id IN ('building', 'france')
+          UNION ALL SELECT 'categories', 'parent_category_id', count(*) FROM every
+            WHERE c LIKE 'building.%' OR c LIKE 'france.%'
+        """, CREDIT, TAGGED),
         "oai_arxiv": q(f"""
           , listed AS (
             SELECT k, rn, s_name, p_brand,
@@ -413,7 +488,7 @@ def statements() -> dict[str, str]:
           zipped AS (SELECT listed.k, string_agg(s_name || ';' || firsts.p_brand || ';', '|' ORDER BY pos) AS authors_parsed
                      FROM listed JOIN firsts ON listed.k = firsts.k AND last_pos = pos GROUP BY 1)
           SELECT id, {clean('sent.title')} AS title, md5(a) AS abstract_md5,
-                 coalesce({iso('updated')}, '') AS update_date, nullif(doi, '') AS doi,
+                 updated_text AS update_date, nullif(doi, '') AS doi,
                  journal_ref, authors_parsed,
                  'oai:' || id AS oai_identifier, {iso('ds')} AS datestamp,
                  array_to_string(categories, '|') AS "setSpecs", {iso('ds')} AS ds
@@ -489,8 +564,8 @@ def statements() -> dict[str, str]:
           FROM tidy WHERE good < n
         """),
         "journal_enrich": q("""
-          , journal AS (SELECT 'J. ' || o_orderpriority AS name, round(avg(o_totalprice), 2) AS impact FROM orders GROUP BY 1)
-          SELECT id AS paper_id, journal_ref, impact FROM paper LEFT JOIN journal ON journal_ref = name
+          , journal AS (SELECT o_orderpriority AS name, round(avg(o_totalprice), 2) AS impact FROM orders GROUP BY 1)
+          SELECT id AS paper_id, journal_ref, impact FROM paper LEFT JOIN journal ON is_published AND priority = name
         """),
         "behaviour_windows": """
           SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, user_id, event_type, count(*) AS events

@@ -101,6 +101,19 @@ def _authors() -> Column:
     return F.when(~_every(70), pairs)
 
 
+def _submitter() -> Column:
+    """A name, mostly with its address in brackets; some have none, some a bare one."""
+    address = F.concat(
+        F.lit("u"), F.col("o_custkey").cast("string"), F.lit("@"), F.lower("n_name"),
+        F.lit(".example.edu"),
+    )
+    return (
+        F.when(_every(5), F.col("c_name"))
+        .when(F.col("o_orderkey") % 5 == 1, F.concat_ws(" ", "c_name", address))
+        .otherwise(F.concat(F.col("c_name"), F.lit(" <"), address, F.lit(">")))
+    )
+
+
 def snapshot(spark: SparkSession, sf_dir: str, parts=ALL_PARTS) -> DataFrame:
     """Typed snapshot records; fields of parts left out are null."""
     available = {
@@ -110,10 +123,7 @@ def snapshot(spark: SparkSession, sf_dir: str, parts=ALL_PARTS) -> DataFrame:
             F.lower("c_mktsegment"), F.lit("."), F.substring("o_orderpriority", 1, 1),
             F.lit("  "), F.lower("n_name"),
         ))),
-        "submitter": ("place", lambda: F.when(_every(5), F.col("c_name")).otherwise(F.concat(
-            F.col("c_name"), F.lit(" <u"), F.col("o_custkey").cast("string"), F.lit("@"),
-            F.lower("n_name"), F.lit(".example.edu>"),
-        ))),
+        "submitter": ("place", _submitter),
         "versions": ("items", _versions),
         "authors": ("people", _authors),
     }
@@ -123,11 +133,17 @@ def snapshot(spark: SparkSession, sf_dir: str, parts=ALL_PARTS) -> DataFrame:
             _every(3), F.concat(F.lit("10.1000/"), F.col("o_orderkey").cast("string"))
         ).otherwise(""),
         "journal_ref": F.when(
-            F.col("o_orderstatus") == "F", F.concat(F.lit("J. "), F.col("o_orderpriority"))
+            F.col("o_orderstatus") == "F", F.concat(
+                F.lit("J. "), F.split_part("o_orderpriority", F.lit("-"), F.lit(2)),
+                F.concat_ws(":", (F.col("o_orderkey") % 90 + 1).cast("string"), "o_orderkey"),
+                F.date_format("o_orderdate", " (yyyy)"),
+            )
         ).otherwise(""),
-        "update_date": F.when(_every(80), F.lit("")).otherwise(
-            F.date_format("o_orderdate", "yyyy-MM-dd")
-        ),
+        # most are ISO days; some are missing, followed by other text, or in the basic form
+        "update_date": F.when(_every(80), F.lit(""))
+        .when(F.col("o_orderkey") % 80 == 1, F.date_format("o_orderdate", "yyyy-MM-dd 'or so'"))
+        .when(F.col("o_orderkey") % 80 == 2, F.date_format("o_orderdate", "yyyyMMdd"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")),
         "problem": F.lit(None).cast("string"),
     }
     for name, (part, make) in available.items():
@@ -239,6 +255,17 @@ def delivery_days(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return low.isoformat(), high.isoformat()
 
 
+def cut_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot lines that end too early, one for every 30th order."""
+    cut = F.concat(F.lit('{"id": "'), F.col("o_orderkey").cast("string"))
+    return table(spark, sf_dir, "orders").filter(_every(30)).select(cut.alias("value"))
+
+
+def nameless_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record without an id per format and delivery day."""
+    return broken_lines(spark, sf_dir).withColumn("value", F.lit('{"id": "", "title": "No id"}'))
+
+
 def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One cut-off line per format and delivery day."""
     days = table(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "month").alias("day")).distinct()

@@ -90,7 +90,9 @@ def historical_outcome(
     )
 
 
-def incremental_outcome(paired: DataFrame, run_ts: str) -> DataFrame:
+def incremental_outcome(
+    paired: DataFrame, run_ts: str, carry: list[str] | None = None
+) -> DataFrame:
     """Rules for a pair of deliveries: versions are required, authors may stay unset."""
     columns = _shared(run_ts)
     columns |= {
@@ -110,7 +112,9 @@ def incremental_outcome(paired: DataFrame, run_ts: str) -> DataFrame:
         F.when(F.col("versions").isNull(), F.lit("versions_absent")),
         F.col("date_reason"),
     )
-    return _project(_with_times(paired), columns, [reason.alias("reason")])
+    return _project(
+        _with_times(paired), columns, [reason.alias("reason"), *map(F.col, carry or [])]
+    )
 
 
 def normalize_historical(records: DataFrame, as_of: str, run_ts: str) -> DataFrame:

@@ -61,5 +61,25 @@ def load_counts(outcome: DataFrame) -> DataFrame:
     )))
 
 
+def landing_counts(outcome: DataFrame) -> DataFrame:
+    """stage, input, output, failed of an incremental load: lines in the first stage, ids in the
+    second, where ids that wait for their other half are neither output nor failed."""
+    one = F.col("reject").isNull()
+    totals = outcome.agg(
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"), F.count("reject").alias("rejected"),
+        F.count_if(one).alias("ids"), F.count_if(one & F.col("reason").isNull()).alias("good"),
+        F.count_if(one & (F.col("reason") == "waiting")).alias("waiting"),
+    )
+    stage = lambda name, given, done, failed: F.struct(
+        F.lit(name).alias("stage"), given.alias("input"), done.alias("output"), failed.alias("failed"),
+    )
+    lines, rejected, ids, good, waiting = (
+        F.col(c) for c in ("lines", "rejected", "ids", "good", "waiting"))
+    return totals.select(F.inline(F.array(
+        stage("extract", lines, lines - rejected, rejected),
+        stage("transform", ids, good, ids - good - waiting),
+    )))
+
+
 def refused_by_reason(outcome: DataFrame) -> DataFrame:
     return outcome.filter("reason is not null").groupBy("reason").agg(F.count("*").alias("records"))

@@ -85,16 +85,33 @@ def quality_drift(history: DataFrame, runs: int = 3, tolerance: float = 5.0) ->
     )
 
 
+def threshold_alerts(history: DataFrame, limits: dict[str, float]) -> DataFrame:
+    """Alerts on missing percentages: columns run, metric, pct in; a run is flagged when a metric
+    is above its own limit. Metrics without a limit raise none."""
+    limit = F.lit(None).cast("double")
+    for metric, most in limits.items():
+        limit = F.when(F.col("metric") == metric, F.lit(float(most))).otherwise(limit)
+    return history.select(
+        "run", "metric", "pct", limit.alias("limit_pct"),
+        F.coalesce(F.col("pct") > limit, F.lit(False)).alias("alert"),
+    )
+
+
 def _journal_key(name: Column) -> Column:
-    return F.lower(text.clean_text(name))
+    """The letters of the name in lower case. A reference goes on with volume, pages and year: the
+    name ends before the first digit that follows a letter."""
+    name = F.regexp_extract(F.lower(text.clean_text(name)), r"^[^\p{L}]*\p{L}\D*", 0)
+    return F.regexp_replace(name, r"[^\p{L}]+", "")
 
 
 def enrich_with_journals(papers: DataFrame, journals: DataFrame) -> DataFrame:
-    """Adds ``impact`` of the journal (columns journal, impact; one row per journal in any case).
+    """Adds ``impact`` of the journal (columns journal, impact; the highest of equal names).
 
     No broadcast is forced: the optimizer picks one when the journal table is small enough.
     """
-    keyed = journals.select(_journal_key(F.col("journal")).alias("journal_key"), "impact")
+    keyed = journals.groupBy(_journal_key(F.col("journal")).alias("journal_key")).agg(
+        F.max("impact").alias("impact")
+    )
     key = F.nullif(_journal_key(F.col("journal_ref")), F.lit(""))
     return papers.withColumn("journal_key", key).join(keyed, "journal_key", "left").drop("journal_key")
 

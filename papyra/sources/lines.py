@@ -149,11 +149,11 @@ def _journal(record: Column, name: str) -> Column:
     return F.when(empty_value, F.lit("")).otherwise(raw.text_if_given(record, name))
 
 
-def landing_records(lines: DataFrame) -> DataFrame:
-    """Typed landing records of both formats with their reading order.
+def landing_lines(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Every landing line, typed, with its reading order.
 
-    Each format fills its own fields and its own problems; lines without an id or of an unknown
-    format are dropped, as are malformed ones.
+    Each format fills its own fields and its own problems. ``reject`` says why a line is no record
+    at all (malformed, unknown_format, missing_id) and is null for a record.
     """
     r = F.col("record")
     is_metadata = F.col("format") == METADATA
@@ -171,6 +171,11 @@ def landing_records(lines: DataFrame) -> DataFrame:
         "versions": raw.version_list(r),
         "update_date": raw.text(r, "update_date"),
         "datestamp": raw.text(r, "datestamp"),
+        "reject": F.coalesce(
+            F.when(~raw.is_object(r), F.lit("malformed")),
+            F.when(~F.col("format").isin(*FORMATS), F.lit("unknown_format")),
+            F.when(~F.coalesce(text.is_set(raw.identifier(r)), F.lit(False)), F.lit("missing_id")),
+        ),
         "problem": F.when(
             is_metadata,
             F.coalesce(*_text_problem(r, "title", "abstract", "categories")),
@@ -187,5 +192,9 @@ def landing_records(lines: DataFrame) -> DataFrame:
             )
         ),
     }
-    records = _emit(parse(lines), ["format", "ds", "file", "block", "row"], columns)
-    return records.filter(F.col("format").isin(*FORMATS) & text.is_set(F.col("id")))
+    return _emit(parse(lines), ["format", "ds", "file", "block", "row", *(keep or [])], columns)
+
+
+def landing_records(lines: DataFrame) -> DataFrame:
+    """The typed records alone: lines that are none are left out, see ``landing_lines``."""
+    return landing_lines(lines).filter("reject is null").drop("reject")
