@@ -1,5 +1,7 @@
 """Landing, lake, harvest and stream jobs on small data."""
 
+from datetime import datetime, timezone
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +108,76 @@ def test_incremental_stream_and_batch_agree(spark, small):
     assert rows(one) == rows(two)
 
 
+def placed(spark, *rows):
+    """Landing lines from (format, day, text)."""
+    given = [(text, f, ds, "f", 0, i) for i, (f, ds, text) in enumerate(rows)]
+    return spark.createDataFrame(given, lines.LANDING)
+
+
+META = '{"id": "%s", "title": "t", "abstract": "a", "categories": "c", "update_date": "2024-01-01"}'
+HISTORY = '{"id": "%s", "submitter": "s", "versions": [{"version": "v1", "created": "Mon, 1 Jan 2024 00:00:00 GMT"}]}'
+
+
+def test_every_landing_line_is_counted_and_refused_ones_are_kept(spark):
+    batch = placed(
+        spark, ("arXiv", "2024-01-01", META % "a"), ("arXivRaw", "2024-01-01", HISTORY % "a"),
+        ("arXiv", "2024-01-01", META % "b"), ("arXiv", "2024-01-02", META % "b"),
+        ("arXiv", "2024-01-01", '{"id": '), ("arXiv", "2024-01-01", '{"id": '), ("arXiv", "2024-01-01", " \t"),
+        ("arXivRaw", "2024-01-01", '{"id": null}'), ("other", "2024-01-01", META % "c"),
+    )
+    table, bad = state.StateTable(scratch(spark, "t"), 4), scratch(spark, "bad")
+    for _ in range(2):  # a repeated load leaves the same
+        counts = incremental.merge_lines(spark, batch, table, fx.RUN_TS, quarantine=bad)
+    assert counts == {
+        "input_lines": 8, "failed_lines": 4, "input_records": 2, "output_records": 1,
+        "failed_records": 1, "waiting_records": 0, "new_records": 0, "updated_records": 1,
+    }
+    kept = sorted((r.reason, r.ds, r.value) for r in spark.read.parquet(bad).collect())
+    assert kept == sorted([
+        ("malformed", "2024-01-01", '{"id": '), ("malformed", "2024-01-01", '{"id": '),
+        ("missing_id", "2024-01-01", '{"id": null}'), ("unknown_format", "2024-01-01", META % "c"),
+        ("unpaired", "2024-01-02", META % "b"),
+    ])
+
+
+def test_a_half_waits_for_the_other_one(spark):
+    table, waiting = state.StateTable(scratch(spark, "t"), 4), scratch(spark, "waiting")
+    run = lambda *rows, **more: incremental.merge_lines(
+        spark, placed(spark, *rows), table, fx.RUN_TS, reoffer=waiting, **more)
+    first = run(("arXiv", "2024-01-01", META % "a"), ("arXiv", "2024-01-01", META % "b"), generation=0)
+    assert (first["waiting_records"], first["failed_records"], first["new_records"]) == (2, 0, 0)
+    for _ in range(2):  # delivered again after a failure
+        run(("arXivRaw", "2024-01-02", HISTORY % "a"), generation=1)
+        assert ids(state.read_state(spark, table).select("paper_id")) == ["a"]
+    last = run(("arXivRaw", "2024-01-03", HISTORY % "b"))
+    assert (last["new_records"], last["waiting_records"]) == (1, 0)
+
+
+def test_default_window_is_yesterday_in_utc():
+    late = datetime.fromisoformat("2024-03-01T23:30:00-02:00")
+    assert incremental.default_window(late) == ("2024-03-01", "2024-03-02")
+    assert incremental.default_window(datetime(2024, 3, 1, 0, 0, tzinfo=timezone.utc)) == ("2024-02-29", "2024-03-01")
+
+
+def test_a_repeated_stream_batch_adds_no_row(spark, small):
+    source, target, bad = (scratch(spark, n) for n in ("in", "lake", "bad"))
+    fx.snapshot_lines(spark, small).filter(F.col("value").contains('"id":"00001')).write.text(source)
+    batch = spark.read.text(source)
+    for name in ("s-0", "s-0", "s-1"):
+        historical.load_lines(spark, batch, target, fx.AS_OF, fx.RUN_TS, name, quarantine=bad)
+    once = batch.count() - spark.read.parquet(bad).filter("load = 's-0'").count()
+    assert lake.read_lake(spark, target).count() == 2 * once
+
+
+def test_journal_names_end_before_the_volume(spark):
+    refs = ["Phys.Rev.D76:013009,2007", "Phys. Rev. D 81 (2010) 1", "J. Stat. Mech", "3D Res. 5, 12", "", None, "12:3"]
+    papers = spark.createDataFrame([(i, r) for i, r in enumerate(refs)], "paper_id int, journal_ref string")
+    journals = spark.createDataFrame(
+        [("Phys.Rev.D", 4.0), ("phys rev d", 5.0), ("J Stat Mech", 2.0), ("3D Res", 1.0)], "journal string, impact double")
+    out = {r.paper_id: r.impact for r in reports.enrich_with_journals(papers, journals).collect()}
+    assert out == {0: 5.0, 1: 5.0, 2: 2.0, 3: 1.0, 4: None, 5: None, 6: None}
+
+
 def test_behaviour_stream_appends_closed_windows(spark, small):
     events = spark.read.parquet(f"{small}/events.parquet")
     stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(small)
