@@ -225,7 +225,8 @@ def dropped_records(spark, sf_dir):
 # ---- quality and counters -----------------------------------------------------------------
 
 def quality_report(spark, sf_dir):
-    return _out(quality.quality_report(lines.snapshot_records(_snapshot_lines(spark, sf_dir))))
+    return _out(quality.quality_report(
+        lines.snapshot_records(_snapshot_lines(spark, sf_dir), names=quality.COLUMNS)))
 
 
 def run_stats(spark, sf_dir):

@@ -51,20 +51,20 @@ def _merged_field(name: str, kind: T.DataType) -> Column:
 
 def merge_papers(
     stored: DataFrame, updates: DataFrame, run_ts: str, keys: list[str] | None = None,
-    recount_versions: bool = False,
+    recount_versions: bool = False, changed_only: bool = False,
 ) -> DataFrame:
     """Stored papers with the updates applied, plus ``outcome``: new, updated or kept.
 
     Both sides hold one row per paper. ``version_count`` is the one the update carries unless
     ``recount_versions`` asks for the length of the merged list. ``keys`` may add a column that
-    both sides are already partitioned by.
+    both sides carry. ``changed_only`` leaves out the kept ones.
     """
     keys = keys or ["paper_id"]
     pack = lambda frame, name, extra: frame.select(
         *keys, F.struct(*PAPER_COLUMNS, *extra).alias(name)
     )
     joined = pack(stored, "stored", ["last_processed"]).join(
-        pack(updates, "update", []), keys, "full_outer"
+        pack(updates, "update", []), keys, "right_outer" if changed_only else "full_outer"
     )
     outcome = (
         F.when(F.col("update").isNull(), F.lit("kept"))

@@ -14,6 +14,9 @@ from papyra.functions import text
 # Type problems that refuse a record before its fields are assessed.
 UNASSESSED = ["malformed", "title_type", "abstract_type"]
 
+# What the counters read of a record.
+COLUMNS = ["id", "title", "abstract", "categories", "authors", "problem"]
+
 
 def quality_counters(records: DataFrame) -> DataFrame:
     """One row: assessed records and how many of them miss a field.

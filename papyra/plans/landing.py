@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from papyra.plans import spread
 from papyra.schema import FORMATS
-from papyra.session import one_task_per_shuffle_partition
 from papyra.sources import files
 from papyra.sources.lines import check_range, day_folders
 
@@ -42,14 +42,14 @@ def land(
 
     Days without new rows end up empty, which dynamic partition overwrite alone would not do.
     Clearing and writing can be repeated after a failure. Null fields are left out of the JSON.
+    Files are sized as in the lake; ``records`` is read twice.
     """
     rows = in_window(records, from_date, to_date)
     clear_days(spark, root, from_date, to_date)
-    writer = (
-        rows.hint("rebalance", "format", "ds")
+    (
+        spread.by_folder(rows, ["format", "ds"], max(1, max_records_per_file * 9 // 10))
         .write.mode("append")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("format", "ds")
+        .json(root)
     )
-    with one_task_per_shuffle_partition(spark):
-        writer.json(root)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,24 +22,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str):
-    """A setting for the jobs started inside the block."""
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
-def one_task_per_shuffle_partition(spark: SparkSession):
-    """For writes into many folders. Rows are shuffled by folder, so merging small shuffle
-    partitions would not save files; it would only make one task create all the folders.
-    Splitting of oversized partitions stays on."""
-    return setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false")
-
-
 def local_session(cores: int | str = "*", name: str = "papyra", **conf: str) -> SparkSession:
     """A session for tests and the bench; on a cluster the caller brings its own."""
     builder = (

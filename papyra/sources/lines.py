@@ -118,9 +118,14 @@ def _text_problem(record: Column, *names: str) -> list[Column]:
     ]
 
 
-def snapshot_records(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def snapshot_records(
+    lines: DataFrame, keep: list[str] | None = None, names: list[str] | None = None
+) -> DataFrame:
     """Typed snapshot records; malformed lines come out with problem ``malformed``.
 
+    ``names`` are the typed columns to read, all unless given: the generator that keeps a line from
+    being parsed again also keeps Catalyst from pruning them.
+
     A journal reference has the hyphenated key here.
     """
     r = F.col("record")
@@ -141,7 +146,7 @@ def snapshot_records(lines: DataFrame, keep: list[str] | None = None) -> DataFra
             raw.versions_problem(r),
         ),
     }
-    return _emit(parse(lines), keep or [], columns)
+    return _emit(parse(lines), keep or [], {n: columns[n] for n in names or columns})
 
 
 def _journal(record: Column, name: str) -> Column:

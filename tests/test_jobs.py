@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from papyra import fixtures as fx
-from papyra.operators import lookups, normalize, pairing, reports
-from papyra.plans import historical, incremental, lake, landing, state
+from papyra.operators import lookups, normalize, pairing, quality, reports
+from papyra.plans import historical, incremental, lake, landing, spread, state
 from papyra.session import scratch
 from papyra.sources import lines, oai
 from papyra.streaming import jobs
@@ -79,6 +79,44 @@ def test_lake_keeps_text_partitions_and_prunes(spark, small):
     assert lake.read_lake(spark, path).count() == before
 
 
+def test_files_follow_the_rows_of_a_day(spark, small):
+    """Whatever the session's partition sizes are; a hot day is cut."""
+    papers = normalize.normalize_historical(fx.snapshot(spark, small, ("items",)), fx.AS_OF, fx.RUN_TS)
+    hot = F.when(F.substring("paper_id", -1, 1) < "5", F.lit("1996-04-03").cast("date"))
+    papers = papers.withColumn("submitted_date", F.coalesce(hot, "submitted_date")).drop("year", "month", "day")
+    path = scratch(spark, "lake")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        lake.write_lake(papers, path, max_records_per_file=100)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    read = lake.read_lake(spark, path)
+    assert ids(read) == ids(papers)
+    days = read.withColumn("file", F.input_file_name()).groupBy("year", "month", "day").agg(
+        F.count("*").alias("n"), F.countDistinct("file").alias("files")).collect()
+    assert len(days) > 100
+    assert max(days, key=lambda r: r.n).files > 3
+    for r in days:
+        assert r.files <= r.n / 90 + 2 and (r.files == 1 or r.n > 90)
+
+
+def test_days_may_be_unknown(spark):
+    rows = spark.createDataFrame([("a", None), ("b", "x"), ("c", None)], "id string, ds string")
+    assert ids(spread.by_folder(rows, ["ds"], 1).select(F.col("id").alias("paper_id"))) == ["a", "b", "c"]
+    assert spread.by_folder(rows.limit(0), ["ds"], 1).count() == 0
+
+
+def test_counters_read_no_other_columns(spark, small):
+    source = scratch(spark, "in")
+    fx.snapshot_lines(spark, small).limit(5).write.text(source)
+    records = lines.snapshot_records(lines.read_snapshot(spark, source), names=quality.COLUMNS)
+    plan = quality.quality_report(records)._jdf.queryExecution().optimizedPlan().toString()
+    assert "update_date" not in plan and "journal" not in plan and "abstract" in plan
+    reasons = lines.snapshot_records(lines.read_snapshot(spark, source), names=["problem"]).groupBy("problem").count()
+    assert "authors" not in reasons._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_batch_and_stream_loads_agree(spark, small):
     source, batch, streamed, bad = (scratch(spark, n) for n in ("in", "batch", "stream", "bad"))
     cut = F.col("value").contains('"id":"00001')

@@ -1,5 +1,7 @@
 """Merge rules and the state table."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,33 +85,98 @@ def test_upsert_is_idempotent_and_counts(spark, small, table):
     again = state.upsert(spark, table, update, RUN_TS)
     assert again == {"new_records": 0, "updated_records": update.count()}
     assert rows(state.read_state(spark, table)) == once
-    assert not files.exists(spark, table.staged)
 
 
-def test_untouched_buckets_stay(spark, table):
+def written(spark, table):
+    """Files of all runs, with their sizes."""
+    root = pathlib.Path(table.path, "runs")
+    return {str(f): f.stat().st_size for f in root.rglob("*.parquet")}
+
+
+def test_an_update_writes_its_own_papers_only(spark, table):
     state.upsert(spark, table, papers(spark, *[{"paper_id": str(i)} for i in range(40)]), RUN_TS)
-    before = set(spark.read.parquet(table.path).inputFiles())
+    before = written(spark, table)
     state.upsert(spark, table, papers(spark, {"paper_id": "3", "title": "t"}), RUN_TS)
-    after = set(spark.read.parquet(table.path).inputFiles())
-    assert len({f.split("bucket=")[1][0] for f in before - after}) == 1
+    state.upsert(spark, table, papers(spark, {"paper_id": "3", "doi": "d"}), RUN_TS)
+    after = written(spark, table)
+    assert before.items() <= after.items()
+    fresh = [f for f in after if f not in before]
+    assert fresh and spark.read.parquet(*fresh).count() == 2
     assert state.read_state(spark, table).count() == 40
     plan = state.read_paper(spark, table, "3")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan
-    assert state.read_paper(spark, table, "3").first().title == "t"
+    row = state.read_paper(spark, table, "3").collect()
+    assert [(r.title, r.doi) for r in row] == [("t", "d")]
+
+
+@pytest.mark.parametrize("buckets", [4, 7])
+def test_compaction_changes_no_row(spark, table, monkeypatch, buckets):
+    monkeypatch.setattr(state, "MAX_DELTAS", 2)
+    state.upsert(spark, table, papers(spark, *[{"paper_id": str(i)} for i in range(90)]), RUN_TS)
+    for i in range(4):
+        state.upsert(spark, table, papers(spark, {"paper_id": str(i), "title": "t"}, {"paper_id": f"n{i}"}), RUN_TS)
+    folded = state.current(spark, table)
+    assert 0 < len(folded.deltas) <= 2 and folded.delta_rows == 8
+    once = rows(state.read_state(spark, table))
+    new = state.StateTable(table.path, buckets)
+    now = state.compact(spark, new)
+    assert (now.buckets, now.base_rows, now.deltas) == (buckets, 94, [])
+    assert rows(state.read_state(spark, new)) == once and len(once) == 94
+    assert [r.title for r in state.read_paper(spark, table, "3").collect()] == ["t"]
+
+
+def test_large_deltas_are_compacted(spark, table):
+    state.upsert(spark, table, papers(spark, {"paper_id": "1"}), RUN_TS)
+    state.upsert(spark, table, papers(spark, {"paper_id": "2"}), RUN_TS)
+    now = state.current(spark, table)
+    assert now.base_rows == 2 and not now.deltas
 
 
-def test_recovers_a_write_that_was_not_published(spark, table):
-    state.upsert(spark, table, papers(spark, {"paper_id": "1", "title": "old"}), RUN_TS)
-    with state._join_inside_buckets(spark):
-        pending = state.merged_buckets(spark, table, papers(spark, {"paper_id": "1", "title": "new"}), RUN_TS)
-        pending.write.partitionBy("bucket").parquet(table.staged)
-    assert state.recover(spark, table) and not state.recover(spark, table)
-    assert [r.title for r in state.read_state(spark, table).collect()] == ["new"]
+def test_readers_see_old_or_new(spark, table):
+    state.upsert(spark, table, papers(spark, *[{"paper_id": str(i)} for i in range(20)]), RUN_TS)
+    opened = state.read_state(spark, table)
+    # a run that died before its manifest
+    state._write_delta(opened.withColumn("title", F.lit("lost")).withColumn("outcome", F.lit("updated")), table)
+    assert state.read_state(spark, table).filter("title = 'lost'").isEmpty()
+    update = papers(spark, *[{"paper_id": str(i), "title": "new"} for i in range(20)])
+    state.upsert(spark, table, update, RUN_TS)
+    assert opened.filter("title is null").count() == 20
+    assert state.read_state(spark, table).filter("title = 'new'").count() == 20
+
+
+def test_of_two_writers_one_fails(spark, table):
+    state.upsert(spark, table, papers(spark, {"paper_id": "1"}), RUN_TS)
+    seen = state.current(spark, table)
+    with pytest.raises(FileExistsError):
+        state._commit(spark, table, seen)
+    assert files.names(spark, table.manifests) == ["000000000.json"]
+
+
+def test_vacuum_keeps_what_counts(spark, table):
+    for i in range(4):
+        state.upsert(spark, table, papers(spark, {"paper_id": str(i)}), RUN_TS)
+    once = rows(state.read_state(spark, table))
+    assert state.vacuum(spark, table) == 0
+    assert state.vacuum(spark, table, keep=1, older_than_hours=0) > 0
+    assert rows(state.read_state(spark, table)) == once
+    assert set(files.folders(spark, table.run(""))) == state.current(spark, table).runs
 
 
-def test_each_side_is_shuffled_once(spark, small, table):
+def test_empty_batches(spark, table):
+    assert state.read_paper(spark, table, "1").count() == 0
+    assert state.upsert(spark, table, papers(spark), RUN_TS) == {"new_records": 0, "updated_records": 0}
+    assert state.read_state(spark, table).count() == 0
     state.upsert(spark, table, papers(spark, {"paper_id": "1"}), RUN_TS)
-    source = papers(spark, {"paper_id": "1", "title": "t"})
-    with state._join_inside_buckets(spark):
-        plan = state.merged_buckets(spark, table, source, RUN_TS)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2 and "bucket" in plan
+    assert state.upsert(spark, table, papers(spark), RUN_TS) == {"new_records": 0, "updated_records": 0}
+    assert state.read_state(spark, table).count() == 1
+
+
+def test_bases_fill_every_task(spark, small, table, monkeypatch):
+    monkeypatch.setattr(state, "ROWS_PER_FILE", 10)
+    update = papers(spark, *[{"paper_id": str(i)} for i in range(200)])
+    state.upsert(spark, table, update, RUN_TS)
+    files_of = {}
+    for f in written(spark, table):
+        files_of.setdefault(f.split("bucket=")[1][0], []).append(f)
+    # 200 rows in 4 buckets of 5 parts each
+    assert len(files_of) == 4 and all(len(f) == 5 for f in files_of.values())
