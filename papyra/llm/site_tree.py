@@ -10,11 +10,15 @@ its blocks. With m different pages that hold an element,
 * importance of a branch: the mean over the elements in it (content where there is text, else
   presentation, which weighs 1 - ``DECAY`` as much), each weighted by its pages and by ``DECAY`` per level.
 
-Branches under ``LEAST_IMPORTANCE`` in which no element's own text reaches it are removed from each page. Little can be said from few pages, so this
-needs ``LEAST_PAGES`` different ones. Two things are known about every site beforehand: elements
-whose tag, role, class or id names a menu, advert, notice, form and so on (``NOISE_*``) are removed, and
-headings and paragraphs that stand right in an article are kept, as the same article may be published
-many times. If a page has an article or a main element, only what is in it counts.
+Branches under ``LEAST_IMPORTANCE`` in which no element's own text reaches it are removed from each page. Little can be said from few pages, so
+elements on fewer than ``LEAST_PAGES`` different ones have the importance of what nothing is known of.
+
+The tree holds all elements, and names only weigh on an element's importance: ``NOISE_WEIGHT`` in elements whose
+tag, role, class or id names a menu, advert, notice, form and so on (``NOISE_*``), ``OUTSIDE_WEIGHT`` outside the article
+or main element of a page that has one, both multiplied. A name says nothing about an element that holds
+a landmark, an h1 or more than half of the page's text: it is a wrapper. What nothing is known of has importance
+``UNKNOWN``, which a noise name alone brings under the least and a place outside a landmark does not.
+Headings and paragraphs that stand right in an article are kept, as the same article may be published many times.
 
 Blocks are the text between block-level tags: character references decoded, white space turned into
 one space, trimmed, joined in page order by an empty line. Broken mark-up never fails: what does not
@@ -41,6 +45,8 @@ from papyra.session import scratch
 
 LEAST_PAGES = 10
 LEAST_IMPORTANCE = 0.3
+UNKNOWN = 0.55
+NOISE_WEIGHT, OUTSIDE_WEIGHT = 45, 80  # hundredths, so that their sums are exact
 DECAY = 0.9
 
 RAW = "script|style|noscript|template|textarea|iframe|title|svg|math|object|audio|video|canvas"
@@ -64,7 +70,7 @@ CLOSES_P = set(
 )
 CLOSES_SELF = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
-    "th": {"td", "th"}, "option": {"option"},
+    "th": {"td", "th"}, "option": {"option"}, "body": {"head"},
 }
 SCOPES = set("ul ol dl table div article section main body nav aside footer header select".split())
 NOISE_TAGS = set("head nav footer aside form button select input dialog menu".split())
@@ -82,10 +88,12 @@ FLOW = set("h1 h2 h3 h4 h5 h6 p blockquote pre figure figcaption".split())
 
 
 class _Element:
-    __slots__ = ("tag", "key", "path", "noise", "main", "flow", "children")
+    __slots__ = ("tag", "key", "path", "parent", "noise", "main", "flow", "inline", "holds", "chars", "weight", "children")
 
-    def __init__(self, tag, key, path, noise, main, flow):
-        self.tag, self.key, self.path, self.noise, self.main, self.flow = tag, key, path, noise, main, flow
+    def __init__(self, tag, key, path, parent, noise, main, flow, inline=False):
+        self.tag, self.key, self.path, self.parent = tag, key, path, parent
+        self.noise, self.main, self.flow, self.inline = noise, main, flow, inline
+        self.holds, self.chars, self.weight = False, 0, 100
         self.children = []
 
 
@@ -112,25 +120,40 @@ def _name(tag: str, attributes: str, inside_main: bool) -> tuple[str, bool, bool
 
 
 def parse(page: str):
-    """Blocks (element, text) in page order outside known noise, and all such elements."""
-    root = _Element("", 0, (), False, False, False)
+    """Blocks (element, text, line, gap) in page order, and all elements with their weights.
+
+    An element within a line that has a noise name is one of the tree, so it divides the line into blocks with one
+    line number; gap tells whether white space stands before the block."""
+    root = _Element("", 0, (), None, False, False, False)
     stack, elements, blocks, text = [root], [root], [], []
+    line, gap = 0, False
 
-    def end_block():
+    def end_block(within_line=False):
+        nonlocal line, gap
         if text:
-            if joined := " ".join(entities.unescape("".join(text)).split()):
-                owner = next(e for e in reversed(stack) if e.tag not in INLINE)
-                blocks.append((owner, joined))
+            raw = entities.unescape("".join(text))
+            if joined := " ".join(raw.split()):
+                owner = next(e for e in reversed(stack) if not e.inline)
+                blocks.append((owner, joined, line, gap or raw[0].isspace()))
+                gap = raw[-1].isspace()
+                while owner is not None:
+                    owner.chars += len(joined)
+                    owner = owner.parent
+            else:
+                gap = gap or bool(raw)
             text.clear()
+        if not within_line:
+            line, gap = line + 1, False
 
     def pop_to(i):
-        if any(e.tag not in INLINE for e in stack[i:]):
-            end_block()
+        closed = [e for e in stack[i:] if not e.inline]
+        if closed:
+            end_block(all(e.tag in INLINE for e in closed))
         del stack[i:]
 
     at = 0
     for m in TOKEN.finditer(page):
-        if m.start() > at and not stack[-1].noise:
+        if m.start() > at:
             text.append(page[at : m.start()])
         at = m.end()
         tag = m[3] or m[6]
@@ -143,9 +166,9 @@ def parse(page: str):
                     pop_to(i)
                     break
             continue
+        top = stack[-1]
         if tag in INLINE and tag not in VOID and not (m[4] or m[7] or "").strip():
-            top = stack[-1]
-            stack.append(_Element(tag, top.key, top.path, top.noise, top.main, top.flow))
+            stack.append(_Element(tag, top.key, top.path, top.parent, False, top.main, top.flow, True))
             continue
         if tag in CLOSES_P:
             for i in range(len(stack) - 1, 0, -1):
@@ -165,45 +188,57 @@ def parse(page: str):
         if tag in VOID:
             if tag not in INLINE:
                 end_block()
-            elif not stack[-1].noise:
+            else:
                 text.append(" ")
             continue
         top = stack[-1]
         name, noise, landmark = _name(tag, m[4] or m[7] or "", top.main)
         if noise or tag not in INLINE:
-            end_block()
+            end_block(tag in INLINE)
         if tag in INLINE and not noise:
-            stack.append(_Element(tag, top.key, top.path, top.noise, top.main, top.flow))
+            stack.append(_Element(tag, top.key, top.path, top.parent, False, top.main, top.flow, True))
             continue
         key = xxhash.xxh64_intdigest(f"{top.key}/{name}") - (1 << 63)
-        main = top.main or landmark
-        child = _Element(tag, key, (*top.path, key), top.noise or noise, main,
+        parent = next(e for e in reversed(stack) if not e.inline)
+        child = _Element(tag, key, (*top.path, key), parent, noise, top.main or landmark,
                          top.main and tag in FLOW and (top.flow or top.tag in LANDMARKS) or landmark)
-        top.children.append(name)
+        if landmark or tag == "h1":
+            holder = child if landmark else parent
+            while holder is not None and not holder.holds:
+                holder.holds = True
+                holder = holder.parent
+        parent.children.append(name)
         stack.append(child)
-        if not child.noise:
-            elements.append(child)
-    if at < len(page) and not stack[-1].noise:
+        elements.append(child)
+    if at < len(page):
         text.append(page[at:])
     end_block()
-    return [b for b in blocks if not b[0].noise], elements
+    landmarks = any(e.main for e in elements)
+    for e in elements[1:]:  # parents come before what is in them
+        e.noise = e.parent.noise or e.noise and not e.holds and 2 * e.chars <= root.chars
+        e.flow = e.flow and not e.noise
+        e.weight = (NOISE_WEIGHT if e.noise else 100) * (OUTSIDE_WEIGHT if landmarks and not e.main else 100) // 100
+    return blocks, elements
 
 
 def main_text(page: str, removed: set[int]) -> str:
     """Text of the blocks that stay; ``removed`` has the keys of unimportant branches."""
-    blocks, elements = parse(page)
-    if any(e.main for e in elements):
-        blocks = [b for b in blocks if b[0].main]
-    if removed:
-        blocks = [b for b in blocks if b[0].flow or not removed.intersection(b[0].path)]
-    return "\n\n".join(t for _, t in blocks)
+    out, last, index = [], None, None
+    for i, (e, text, line, gap) in enumerate(parse(page)[0]):
+        if removed and not e.flow and removed.intersection(e.path):
+            continue
+        if out:
+            out.append("\n\n" if line != last else " " if gap or index != i - 1 else "")
+        out.append(text)
+        last, index = line, i
+    return "".join(out)
 
 
 def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
-FEATURES = "host string, page long, key long, path array<long>, style long, texts array<long>"
+FEATURES = "host string, page long, key long, path array<long>, weight long, style long, texts array<long>"
 
 
 def _features(batches):
@@ -214,20 +249,21 @@ def _features(batches):
                 blocks, elements = parse(page)
                 merged: dict[int, list] = {}
                 for e in elements[1:]:
-                    own = merged.setdefault(e.key, [e.path, [], []])
+                    own = merged.setdefault(e.key, [e.path, 0, [], []])
                     runs = [c for c, before in zip(e.children, [None, *e.children]) if c != before]
-                    own[1].append(",".join(runs))
-                for e, text in blocks:
+                    own[1] = max(own[1], e.weight)
+                    own[2].append(",".join(runs))
+                for e, text, *_ in blocks:
                     if e.key in merged:
-                        merged[e.key][2].append(_hash(text))
+                        merged[e.key][3].append(_hash(text))
                 whole = _hash(page)
-                for key, (path, styles, texts) in merged.items():
-                    row = host, whole, key, path, _hash("|".join(dict.fromkeys(styles))), sorted(set(texts))
+                for key, (path, weight, styles, texts) in merged.items():
+                    row = host, whole, key, path, weight, _hash("|".join(dict.fromkeys(styles))), sorted(set(texts))
                     for name, value in zip(out, row):
                         out[name].append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(out.values(), (
-                    pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64())))],
+                    pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.list_(pa.int64())))],
                 names=list(out))
 
 
@@ -237,24 +273,26 @@ def branch_importance(pages: DataFrame) -> DataFrame:
     seen = pages.select("host", "html").mapInArrow(_features, FEATURES)
     # a row per different page and element; copies of a page fall together before they are counted
     spread = seen.select(
-        "host", "key", "page", "path",
+        "host", "key", "page", "path", "weight",
         F.explode(F.concat(
             F.array(F.struct(F.lit(0).alias("kind"), F.col("style").alias("value"))),
             F.transform("texts", lambda t: F.struct(F.lit(1).alias("kind"), t.alias("value"))))).alias("f"),
-    ).groupBy("host", "key", F.col("f.kind").alias("kind"), F.col("f.value").alias("value"), "page").agg(F.any_value("path").alias("path"))
+    ).groupBy("host", "key", F.col("f.kind").alias("kind"), F.col("f.value").alias("value"), "page").agg(
+        F.any_value("path").alias("path"), F.max("weight").alias("weight"))
     counts = spread.groupBy("host", "key", "kind", "value").agg(
-        F.count("*").cast("double").alias("n"), F.any_value("path").alias("path"))
+        F.count("*").cast("double").alias("n"), F.sum("weight").alias("weight"), F.any_value("path").alias("path"))
     per_key = counts.groupBy("host", "key").agg(
         F.any_value("path").alias("path"),
         F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
+        F.sum(F.when(F.col("kind") == 0, F.col("weight"))).alias("weight"),
         F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("style"),
         F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("texts"),
         F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("content"))
     log_m = F.log("m")
-    importance = F.when(F.col("m") < 2, 1.0).when(
+    importance = F.when(F.col("m") < LEAST_PAGES, UNKNOWN).when(
         F.col("texts").isNotNull(), 1 - F.col("content") / (F.col("texts") * log_m)
     ).otherwise((log_m - F.col("style") / F.col("m")) / log_m)
-    leaf = per_key.select("host", "m", "path", importance.alias("own"), F.col("texts").isNotNull().alias("has_text"))
+    leaf = per_key.select("host", "m", "path", (importance * F.col("weight") / (100 * F.col("m"))).alias("own"), F.col("texts").isNotNull().alias("has_text"))
     above = leaf.select(
         "host", "m", "own", "has_text", F.size("path").alias("depth"), F.posexplode("path").alias("at", "above"))
     weight = F.col("m") * F.pow(F.lit(DECAY), F.col("depth") - 1 - F.col("at")) * F.when(
@@ -274,7 +312,7 @@ def extract(pages: DataFrame) -> DataFrame:
     # by host, where adaptive execution splits the pages of a large host
     path = scratch(spark, "site-tree")
     branch_importance(rows).where(
-        (F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE) & (F.col("best") < LEAST_IMPORTANCE)
+        (F.col("importance") < LEAST_IMPORTANCE) & (F.col("best") < LEAST_IMPORTANCE)
     ).groupBy("host").agg(F.collect_list("key").alias("removed")).write.parquet(path)
     removed = spark.read.schema("host string, removed array<long>").parquet(path)
 

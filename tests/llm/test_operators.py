@@ -241,6 +241,20 @@ def test_main_text(spark):
     assert site_tree.extract(pages.limit(0)).count() == 0
 
 
+def test_names_alone_remove_no_main_text(spark):
+    """An entry header, a layout wrapper, a body beside teasers, a span within a line; then a host that shows which parts vary."""
+    wrapped = "<div class='layout no-sidebar'><h1>Top</h1><p>Text of the page that is long enough</p></div>"
+    entry = "<article><header class='entry-header'><h1>Title</h1></header><p>Body</p></article>"
+    teasers = "<div class='story'><p>The real body of this page</p></div><article class='teaser'><h2>Teaser</h2></article>"
+    line = "<article><p>See <span class='related'>this</span>, and more</p></article>"
+    rows = [(i, f"http://host{i}.com/", page(x)) for i, x in enumerate([entry, wrapped, teasers, line])]
+    rows += [(10 + i, "http://s.com/", page(f"<div class='search'><p>Found {i} by itself</p></div><div class='promo'>Buy</div><div><p>Story {i} told at length</p></div>")) for i in range(12)]
+    out = {r.page_id: r.text for r in site_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out[0] == "Title\n\nBody" and out[1] == "Top\n\nText of the page that is long enough"
+    assert "The real body of this page" in out[2] and out[3].startswith("See") and out[3].endswith(", and more")
+    assert [out[10 + i] for i in range(12)] == [f"Found {i} by itself\n\nStory {i} told at length" for i in range(12)]
+
+
 def test_ledger(spark, odd, none):
     counted = token_ledger.count_tokens(odd.select("doc_id", "source", "lang", "text"), ["text"])
     assert {r.doc_id: r.text_tokens for r in counted.collect()}[0] == 0
