@@ -11,13 +11,16 @@ its blocks. With m different pages that hold an element,
   presentation, which weighs 1 - ``DECAY`` as much), each weighted by its pages and by ``DECAY`` per level.
 
 Branches under ``LEAST_IMPORTANCE`` in which no element's own text reaches it are removed from each page. Little can be said from few pages, so
-elements on fewer than ``LEAST_PAGES`` different ones have the importance of what nothing is known of.
+an element's importance on m pages of a host is a mean, weighted m - 1 to ``BACK_OFF``, of what the host says and
+of what the other hosts say of the same path: their importances, weighted by m - 1 each, and ``UNKNOWN`` with
+``BACK_OFF``. Two pages of a host are enough to remove what both share; single pages rest on other hosts.
 
 The tree holds all elements, and names only weigh on an element's importance: ``NOISE_WEIGHT`` in elements whose
 tag, role, class or id names a menu, advert, notice, form and so on (``NOISE_*``), ``OUTSIDE_WEIGHT`` outside the article
 or main element of a page that has one, both multiplied. A name says nothing about an element that holds
 a landmark, an h1 or more than half of the page's text: it is a wrapper. What nothing is known of has importance
-``UNKNOWN``, which a noise name alone brings under the least and a place outside a landmark does not.
+``UNKNOWN``, which a noise name alone brings under the least and a place outside a landmark does not. A noise name and
+a place outside the landmark together do so for any importance; either alone leaves important text.
 Headings and paragraphs that stand right in an article are kept, as the same article may be published many times.
 
 Blocks are the text between block-level tags: character references decoded, white space turned into
@@ -43,10 +46,10 @@ from papyra.llm import textbytes as tb
 from papyra.llm.ship import ship
 from papyra.session import scratch
 
-LEAST_PAGES = 10
 LEAST_IMPORTANCE = 0.3
 UNKNOWN = 0.55
-NOISE_WEIGHT, OUTSIDE_WEIGHT = 45, 80  # hundredths, so that their sums are exact
+BACK_OFF = 1.0
+NOISE_WEIGHT, OUTSIDE_WEIGHT = 45, 60  # hundredths, so that their sums are exact
 DECAY = 0.9
 
 RAW = "script|style|noscript|template|textarea|iframe|title|svg|math|object|audio|video|canvas"
@@ -289,10 +292,24 @@ def branch_importance(pages: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("texts"),
         F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("content"))
     log_m = F.log("m")
-    importance = F.when(F.col("m") < LEAST_PAGES, UNKNOWN).when(
+    importance = F.when(F.col("m") < 2, 0.0).when(
         F.col("texts").isNotNull(), 1 - F.col("content") / (F.col("texts") * log_m)
     ).otherwise((log_m - F.col("style") / F.col("m")) / log_m)
-    leaf = per_key.select("host", "m", "path", (importance * F.col("weight") / (100 * F.col("m"))).alias("own"), F.col("texts").isNotNull().alias("has_text"))
+    here = per_key.select(
+        "host", "key", "m", "path", "weight", F.col("texts").isNotNull().alias("has_text"), (F.col("m") - 1).alias("seen"),
+        (importance * (F.col("m") - 1)).alias("sum"))
+    # written once, as it is read for the sums over hosts and again to be joined with them
+    path = scratch(pages.sparkSession, "site-paths")
+    here.write.parquet(path)
+    here = pages.sparkSession.read.schema(here.schema).parquet(path)
+    # an element on one page of its host adds nothing to the sums, and text and structure are kept apart
+    over_hosts = here.where("seen > 0").groupBy("key", "has_text").agg(
+        F.sum("seen").alias("all_seen"), F.sum("sum").alias("all_sum"))
+    others = F.coalesce(F.col("all_seen"), F.lit(0.0)) - F.col("seen")
+    pooled = (F.when(others > 0, F.col("all_sum") - F.col("sum")).otherwise(0.0) + BACK_OFF * UNKNOWN) / (others + BACK_OFF)
+    own = (F.col("sum") + BACK_OFF * pooled) / (F.col("seen") + BACK_OFF)
+    leaf = here.join(over_hosts, ["key", "has_text"], "left").select(
+        "host", "m", "path", (own * F.col("weight") / (100 * F.col("m"))).alias("own"), "has_text")
     above = leaf.select(
         "host", "m", "own", "has_text", F.size("path").alias("depth"), F.posexplode("path").alias("at", "above"))
     weight = F.col("m") * F.pow(F.lit(DECAY), F.col("depth") - 1 - F.col("at")) * F.when(

@@ -255,6 +255,16 @@ def test_names_alone_remove_no_main_text(spark):
     assert [out[10 + i] for i in range(12)] == [f"Found {i} by itself\n\nStory {i} told at length" for i in range(12)]
 
 
+def test_few_pages_back_off_to_other_hosts(spark):
+    """Two pages of a host lose what they share; a single page loses what other hosts share at the same path."""
+    form = "<div class='box'><p>Win a prize</p></div>"
+    story = lambda i: f"<div class='text'><p>Story number {i} of many</p></div>"
+    rows = [(i, f"http://two{i // 2}.com/{i}", page(story(i), form)) for i in range(4)] + [(9, "http://one.com/", page(story(9), form))]
+    rows += [(20 + i, "http://alone.com/", f"<section><p>Same words</p></section><div><p>Own words {i}</p></div>") for i in range(2)]
+    out = {r.page_id: r.text for r in site_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {i: f"Story number {i} of many" for i in (0, 1, 2, 3, 9)} | {20 + i: f"Own words {i}" for i in range(2)}
+
+
 def test_ledger(spark, odd, none):
     counted = token_ledger.count_tokens(odd.select("doc_id", "source", "lang", "text"), ["text"])
     assert {r.doc_id: r.text_tokens for r in counted.collect()}[0] == 0
