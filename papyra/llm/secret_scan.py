@@ -6,7 +6,9 @@ non-overlapping per kind, too short ones dropped after matching.
 The lexer reads a text as name-literal pairs of the usual syntaxes: ``name = "literal"``, ``name: literal``,
 ``"name": "literal"``, ``name := literal``, ``name => literal``. A value that names an earlier
 name, plainly or as ``$name`` or ``${name}``, stands for that name's literal (constant propagation, also
-over several steps), and the span is that of the literal. A literal is scored by the words of the
+over several steps), and the span is that of the literal. A bare value is read for pairs again from its start
+(``user=a&pwd=b``, ``args: --pwd=b``, ``env: NAME=b``); before ``&name=`` it ends if what stands there is a reference or scores, else it
+is taken whole. Pairs within a literal that was found add nothing. A literal is scored by the words of the
 name that receives it and by its own strength; from ``LEAST_SCORE`` on it is a span of kind lex, unless a
 base span covers it.
 
@@ -37,9 +39,12 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # runs of 16 or more, as runs are taken whol
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 KINDS = ("assign", "access", "hex", "lex")
 
+# A name is tried once per run of its characters, and what a bare value consists of is scanned once.
 PAIR = re.compile(
-    r"""(["'`]?)([A-Za-z_][A-Za-z0-9_.-]*)\1[\x20\t]*(?::=|=>|=|:)(?!=)[\x20\t]*"""
-    r"""(?:"([^"\n]*)"|'([^'\n]*)'|`([^`\n]*)`|([A-Za-z0-9+/_.=$@!#%^&*~{}-]+))""", re.A)
+    r"""(?:(["'`])|(?<![A-Za-z0-9_.-])[0-9.-]*+)([A-Za-z_][A-Za-z0-9_.-]*+)(?(1)\1)[\x20\t]*(?::=|=>|=|:)(?!=)[\x20\t]*"""
+    r"""(?:"([^"\n]*)"|'([^'\n]*)'|`([^`\n]*)`|(?=[A-Za-z0-9+/_.=$@!#%^&*~{}-])())""", re.A)
+BARE = re.compile(r"[A-Za-z0-9+/_.=$@!#%^&*~{}-]+", re.A)
+NEXT_FIELD = re.compile(r"&(?=[A-Za-z_][A-Za-z0-9_.-]*+=)", re.A)
 REFERENCE = re.compile(r"\$?\{?([A-Za-z_][A-Za-z0-9_.]*)\}?", re.A)
 NAME_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", re.A)
 # Words of names and their weights, alone and in pairs.
@@ -67,10 +72,10 @@ def name_weight(name: str) -> float:
 
 def literal_strength(text: str) -> float:
     """0 for what cannot be a secret, else up to 1 by length, kinds of characters and entropy."""
-    if len(text) < LEAST_LITERAL or any(c.isspace() for c in text) or PLACEHOLDER.search(text):
+    if len(text) < LEAST_LITERAL or not re.search("[0-9]", text) or re.search(r"\s", text) or PLACEHOLDER.search(text):
         return 0.0
     kinds = sum(bool(re.search(k, text)) for k in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    if kinds < 2 or not re.search("[0-9]", text):
+    if kinds < 2:
         return 0.0
     n = len(text)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(text).values())
@@ -89,19 +94,34 @@ def lexed_spans(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, receiving name, score) of literals that a sensitive name receives."""
     literals: dict[str, tuple[int, int]] = {}
     found: dict[tuple[int, int], tuple[str, float]] = {}
-    for m in PAIR.finditer(text):
+    at, bare_end, covered, fields = 0, 0, 0, []
+    while m := PAIR.search(text, at):
         name = m[2]
         group = next(g for g in (3, 4, 5, 6) if m[g] is not None)
-        span, bare = m.span(group), group == 6
-        value = m[group]
-        if r := REFERENCE.fullmatch(value):
-            if r[1] in literals and (bare or value.startswith("$")):
-                span = literals[r[1]]
-                value = text[slice(*span)]
-        literals[name] = span
-        score = name_weight(name) * literal_strength(value)
-        if score >= LEAST_SCORE and score > found.get(span, ("", 0.0))[1]:
-            found[span] = (name, round(score, 4))
+        start, end = m.span(group)
+        bare, at = group == 6, m.end()
+        ends = [end]
+        if bare:
+            if start >= bare_end:
+                bare_end = BARE.match(text, start).end()
+                fields = [f.start() for f in NEXT_FIELD.finditer(text, start, bare_end)][::-1]
+            while fields and fields[-1] < start:
+                fields.pop()
+            ends = [*fields[-1:], bare_end]
+        weight, literal = name_weight(name), (start, ends[0])
+        for end in ends:
+            span = start, end
+            if (r := REFERENCE.fullmatch(text, start, end)) and r[1] in literals and (bare or text[start] == "$"):
+                span = literal = literals[r[1]]
+            elif end <= covered:
+                continue
+            score = weight * literal_strength(text[slice(*span)]) if weight else 0.0
+            if score >= LEAST_SCORE:
+                if score > found.get(span, ("", 0.0))[1]:
+                    found[span] = (name, round(score, 4))
+                covered = max(covered, end)
+                break
+        literals[name] = literal
     return sorted((a, b, *x) for (a, b), x in found.items())
 
 

@@ -295,6 +295,14 @@ def test_secrets(spark, odd, none):
     assert secret_scan.scan(none).count() == 0 == secret_scan.redact(none).count()
 
 
+def test_bare_values_hide_no_pairs():
+    for text in ("login?user=bob&pwd=Zx9aQ81mmPq2", "args: --pwd=Zx9aQ81mmPq2", "env: DB_PWD=Zx9aQ81mmPq2", "user=bob&password=Zx9aQ81m",
+                 "pwd=Zx9aQ81mmPq2&user=bob", 'args: --pwd="Zx9aQ81mmPq2"', 'k = "Zx9aQ81mmPq2"\npwd=k&user=bob'):
+        value = "Zx9aQ81mmPq2" if "mm" in text else "Zx9aQ81m"
+        spans = [s[:3] for s in secret_scan.scan_text(text)]
+        assert spans == [("lex", text.index(value), text.index(value) + len(value))], text
+
+
 def test_top_k(spark):
     rows = [(0, [1.0, 0.5], "x"), (1, [1.0, 0.5], "x"), (1, [1.0, 0.5], "x"), (2, None, "x"), (3, [float("nan"), 1.0], "x"), (4, [None, 1.0], "x"), (None, [1.0, 1.0], "x"), (50, [0.1], "x"), (100, [], "x")]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
