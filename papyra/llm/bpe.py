@@ -4,7 +4,8 @@ The library splits a text before it merges bytes, and no piece of that split goe
 of a word: a match never runs from a character that is not white space into a space or line feed.
 It does not go on from a letter into ASCII punctuation, or from a single line feed into a visible
 ASCII character, either. So a text may be cut at these places, the parts be encoded one by one, and their
-ids be joined. Prose repeats its words, so the library sees each different part of a task once; the
+ids be joined. The vocabulary's added tokens, such as <|endoftext|>, are taken out of a text before all that, as the
+library does, and each is a part with its own id. Prose repeats its words, so the library sees each different part of a task once; the
 rest is array work. ``tests/llm`` compares the ids with those of whole texts.
 """
 
@@ -50,7 +51,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError(f"{path}: added tokens that take in white space or need word edges")
+        self.added = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.find_added = re.compile(b"|".join(map(re.escape, self.added))) if self.added else None
         self.visible = _visible_bytes()
         self._clear()
 
@@ -62,7 +67,7 @@ class Encoder:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = tb.text_buffer(column)
-        begins = _part_starts(data, offsets)
+        begins = _part_starts(data, offsets, self._added_spans(data, offsets))
         ends = np.append(begins[1:], len(data))
         part, first_of, which = np.unique(
             tb.mix(_exact_hashes(data, begins, ends)), return_index=True, return_inverse=True
@@ -74,6 +79,14 @@ class Encoder:
         np.cumsum(lengths, out=places[1:])
         return ids, places[np.searchsorted(begins, offsets)]
 
+    def _added_spans(self, data, offsets) -> list[tuple[int, int]]:
+        """Where added tokens stand, the leftmost and longest first; none goes on past the end of a row."""
+        raw = data.tobytes()
+        if not self.added or not any(t in raw for t in self.added):
+            return []
+        places = offsets.tolist()
+        return [m.span() for a, b in zip(places, places[1:]) for m in self.find_added.finditer(raw, a, b)]
+
     def _lookup(self, part, data, begins, ends) -> np.ndarray:
         """Where each part stands among the known ones; unknown ones are encoded and added."""
         at = np.searchsorted(self.known, part)
@@ -88,7 +101,7 @@ class Encoder:
         raw = data.tobytes()
         texts = [raw[a:b] for a, b in zip(begins[new].tolist(), ends[new].tolist())]
         plain, model = _LETTERS.fullmatch, self.tokenizer.model
-        single = np.array([plain(x) is not None for x in texts], bool)
+        single = np.array([plain(x) is not None and x not in self.added for x in texts], bool)
         rest = [x.decode() for x, alone in zip(texts, single.tolist()) if not alone]
         lists = [None] * len(texts)
         for i in np.flatnonzero(single).tolist():
@@ -139,8 +152,8 @@ _KIND[0x30:0x3A] = 3
 _KIND[0x41:0x5B] = _KIND[0x61:0x7B] = 1
 
 
-def _part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Starts of rows, and the places named at the top.
+def _part_starts(data: np.ndarray, offsets: np.ndarray, whole: list[tuple[int, int]]) -> np.ndarray:
+    """Starts of rows, the places named at the top, and the edges of the spans that are not to be cut.
 
     Spaces and line feeds count after a character that surely isn't white space: bytes C2, E1, E2
     and E3 begin the non-ASCII white space characters, so nothing is cut after what they begin.
@@ -161,6 +174,9 @@ def _part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         alone[1:] &= solid[:-1]
         alone[0] = False
         cut[1:n] |= alone
+    for a, b in whole:
+        cut[a + 1 : b] = False
+        cut[[a, b]] = True
     cut[offsets[:-1]] = True
     return np.flatnonzero(cut[:n])
 

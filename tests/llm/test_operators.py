@@ -63,6 +63,16 @@ def test_ids_equal_those_of_whole_texts(spark, small):
         assert ids[places[i] : places[i + 1]].tolist() == e.ids
 
 
+def test_added_tokens_have_their_own_id():
+    from tokenizers import Tokenizer
+
+    texts = ["<|endoftext|> hi", "a<|endoftext|>b <|endoftext|>\n<|endoftext|><|endoftext|>", "cut <|endof", "text|> here", "", "<|endoftext|>", None]
+    ids, places = bpe.Encoder(bpe.vocabulary()).encode(pa.array(texts))
+    fresh = Tokenizer.from_file(bpe.vocabulary())
+    got = [ids[a:b].tolist() for a, b in zip(places, places[1:])]
+    assert got == [fresh.encode(t or "", add_special_tokens=False).ids for t in texts] and got[0] == [50256, 23105]
+
+
 @pytest.mark.parametrize("top", [2, 1000, 50257, 1 << 63])
 @pytest.mark.parametrize("n", [0, 1, 1023, 1024, 1025, 9000])
 def test_simple8b_round_trip(n, top):
