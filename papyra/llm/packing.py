@@ -2,8 +2,9 @@
 
 A piece of n ids costs ``LINEAR * n + QUADRATIC * n * n`` (feed-forward work plus attention within
 the piece). Documents longer than the capacity are cut into pieces of it and a rest. Pieces go in
-descending cost to the sequence with the lowest cost so far that has room for them; when none of
-the ``LOOK`` cheapest has, the piece is cut and the cheapest is filled, and its rest waits its turn.
+descending cost to the sequence with the lowest cost so far that has room for them; when none
+has, the piece is cut and the cheapest is filled, and its rest waits its turn. Open sequences lie in heaps by
+the room they have left, and a tree over these finds the cheapest with at least so much room.
 As many sequences are opened as the ids fill completely; what is left over (under one capacity)
 goes to sequences whose lengths are powers of two, which need no padding.
 
@@ -33,7 +34,6 @@ from papyra.llm.ship import ship
 CAPACITY = 1024
 LINEAR, QUADRATIC = 1.0, 1.0 / 512
 GROUP_IDS = 1 << 21
-LOOK = 16
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
     "offset long, cost double"
@@ -44,6 +44,44 @@ def cost(n: int) -> float:
     return LINEAR * n + QUADRATIC * n * n
 
 
+class _Open:
+    """Open sequences by the room they have left: one heap for each, and a tree of the least (cost, sequence)."""
+
+    def __init__(self, count: int, capacity: int):
+        self.size = 1 << capacity.bit_length()
+        self.heaps = [[] for _ in range(capacity + 1)]
+        self.heaps[capacity] = [(0.0, s) for s in range(count)]
+        self.least = [_NONE] * (2 * self.size)
+        self._renew(capacity)
+
+    def _renew(self, room: int) -> None:
+        i, least = room + self.size, self.least
+        least[i] = self.heaps[room][0] if self.heaps[room] else _NONE
+        while i > 1:
+            i >>= 1
+            least[i] = min(least[2 * i], least[2 * i + 1])
+
+    def cheapest(self, n: int):
+        """(cost, sequence) of the cheapest with room for n, or _NONE."""
+        best, i = self.least[n + self.size], n + self.size
+        while i > 1:
+            if not i & 1:
+                best = min(best, self.least[i + 1])
+            i >>= 1
+        return best
+
+    def take(self, room: int):
+        heapq.heappop(self.heaps[room])
+        self._renew(room)
+
+    def put(self, room: int, entry) -> None:
+        heapq.heappush(self.heaps[room], entry)
+        self._renew(room)
+
+
+_NONE = (float("inf"), -1)
+
+
 def pack(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of each piece; every token is in exactly one."""
     total = sum(lengths)
@@ -54,34 +92,31 @@ def pack(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, i
     heapq.heapify(waiting)
     order = len(waiting)
     used = [0] * (total // capacity)
-    open_ = [(0.0, s) for s in range(len(used))]
+    open_ = _Open(len(used), capacity)
     pieces = []
 
     def put(doc, start, n, sequence):
         pieces.append((doc, start, n, sequence, used[sequence]))
         used[sequence] += n
 
-    while open_ and waiting:
-        size, _, doc, start = heapq.heappop(waiting)
-        n, passed, chosen = -size, [], None
-        while open_ and len(passed) < LOOK:
-            c, s = heapq.heappop(open_)
-            if capacity - used[s] >= n:
-                chosen = c, s
+    while waiting:
+        size, _, doc, start = waiting[0]
+        n = -size
+        c, s = open_.cheapest(n)
+        if s < 0:
+            c, s = open_.cheapest(1)
+            if s < 0:
                 break
-            passed.append((c, s))
-        if chosen is None:
-            chosen = passed.pop(0)
-            fits = capacity - used[chosen[1]]
+        heapq.heappop(waiting)
+        room = capacity - used[s]
+        open_.take(room)
+        if room < n:
             order += 1
-            heapq.heappush(waiting, (fits - n, order, doc, start + fits))
-            n = fits
-        for x in passed:
-            heapq.heappush(open_, x)
-        c, s = chosen
+            heapq.heappush(waiting, (room - n, order, doc, start + room))
+            n = room
         put(doc, start, n, s)
         if used[s] < capacity:
-            heapq.heappush(open_, (c + cost(n), s))
+            open_.put(capacity - used[s], (c + cost(n), s))
 
     left, room = total - len(used) * capacity, 0
     for size, _, doc, start in sorted(waiting):

@@ -85,6 +85,22 @@ def test_simple8b_round_trip(n, top):
     assert (simple8b.decode_blocks(w, first(per_block), raw, first(raw_per_block), n) == ids).all()
 
 
+def test_pieces_are_cut_only_if_none_has_room():
+    lengths = [500] * 40 + [800] * 20 + [200] + [24] * 200
+    pieces = packing.pack(lengths)
+    assert [p[1:3] for p in pieces if p[0] == 60] == [(0, 200)]
+    # brute force over all open sequences, while any is open
+    used, costs = [0] * (sum(lengths) // 1024), [0.0] * (sum(lengths) // 1024)
+    for doc, start, n, s, offset in pieces:
+        if s < len(used):
+            full = 1024 - used[s] == n
+            fits = [(costs[i], i) for i in range(len(used)) if 1024 - used[i] >= n]
+            cheapest = min((costs[i], i) for i in range(len(used)) if used[i] < 1024)
+            assert offset == used[s] and (min(fits)[1] == s or full and cheapest[1] == s)
+            used[s], costs[s] = used[s] + n, costs[s] + packing.cost(n)
+    assert used == [1024] * len(used) and sum(p[2] for p in pieces) == sum(lengths)
+
+
 def test_shards_and_packing(spark, odd, none):
     tokenizer = bpe.Encoder(bpe.vocabulary()).tokenizer
     ids = {i: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for i, t in enumerate(TEXTS)}
