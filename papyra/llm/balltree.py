@@ -8,8 +8,9 @@ under the query's current kth score are dropped with all below them, leaves are
 order of their bounds. The current kth score is shared: each query first searches its own shard, and
 what it finds there starts the search of all others.
 
-Ties go to the smaller vec_id. A vector that is null, empty or holds a null, non-finite or too large
-component (2**28 and more after scaling) takes no part, nor does a row without vec_id. Vectors are only
+Ties go to the smaller vec_id. A vector that is null, empty or holds a null or non-finite
+component takes no part, nor does a row without vec_id. However large, all others do: products that might leave 64 bits
+are formed in whole numbers of any size, and a component or score of 2**62 or more ends the job. Vectors are only
 compared with those of their own length. A query is not compared with rows of its own vec_id;
 other repeated rows each count. Without candidates a query gives no rows. Columns other than vec_id
 and embedding are not read.
@@ -28,7 +29,7 @@ SCALE = 256
 SHARD_ROWS = 16384
 QUERY_ROWS = 2048
 LEAF_ROWS = 256
-LARGEST = float(1 << 28)
+LARGEST = 1 << 62
 NOTHING = -(1 << 62)  # below every score, and safe to negate
 
 
@@ -75,7 +76,8 @@ class BallTree:
             if level:
                 alive = np.repeat(alive, 2, axis=1)
             bound = exact @ centres.T + norms[:, None] * radii
-            bound += np.abs(bound) * 1e-9 + 1e-6  # rounding must not cut a tie
+            # rounding must not cut a tie
+            bound += 1e-9 * norms[:, None] * (np.sqrt((centres**2).sum(axis=1)) + radii) + 1e-6
             alive &= bound >= kth[:, None]
         bound[~alive] = -np.inf
         order = np.argsort(-bound, axis=1, kind="stable")
@@ -105,7 +107,20 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     most = float(max(np.abs(a).max(), 1)) * float(max(np.abs(b).max(), 1)) * a.shape[1]
     if most < 2**53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    if most < LARGEST:
+        return a @ b.T
+    # only the rows with large components need wide numbers
+    limit = int((LARGEST / a.shape[1]) ** 0.5)
+    wide_a, wide_b = (np.abs(x).max(axis=1) >= limit for x in (a, b))
+    out = np.zeros((len(a), len(b)), np.int64)
+    out[np.ix_(~wide_a, ~wide_b)] = a[~wide_a] @ b[~wide_b].T
+    for rows, columns in ((wide_a, np.ones(len(b), bool)), (~wide_a, wide_b)):
+        if rows.any() and columns.any():
+            exact = a[rows].astype(object) @ b[columns].astype(object).T
+            if max(abs(int(x)) for x in exact.ravel()) >= LARGEST:
+                raise OverflowError("a score of 2**62 or more")
+            out[np.ix_(rows, columns)] = exact.astype(np.int64)
+    return out
 
 
 def _matrix(column) -> np.ndarray:
@@ -134,9 +149,14 @@ RESULT = "query_id long, vec_id long, score long"
 
 def whole_vectors(rows: DataFrame) -> DataFrame:
     """vec_id, v (whole numbers) and n (length) of the rows that take part."""
-    scaled = F.transform("embedding", lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")))
+    def whole(x):
+        wide = F.lit(float(SCALE)) * x.cast("double")
+        return F.when(F.abs(wide) < float(LARGEST), F.floor(wide)).otherwise(
+            F.raise_error(F.lit("a component of 2**62 or more after scaling")).cast("long"))
+
+    scaled = F.transform("embedding", whole)
     bad = F.exists("embedding", lambda x: F.coalesce(
-        F.isnan(x.cast("double")) | (F.abs(x.cast("double")) * SCALE >= LARGEST), F.lit(True)))
+        F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")), F.lit(True)))
     return rows.where("vec_id IS NOT NULL AND size(embedding) > 0").where(~bad).select(
         F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v"), F.size("embedding").alias("n"))
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from papyra.llm import textbytes as tb
 
 END_ID = 0
-CACHE_PARTS = 1 << 21
+CACHE_PARTS = 1 << 18
 
 # A part of letters alone is one piece of the library's own split, so its model can take it as is.
 _LETTERS = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
@@ -139,10 +139,7 @@ _CASED = np.random.default_rng(0xCA5E).integers(1, 1 << 63, 256, dtype=np.uint64
 
 def _exact_hashes(data, begins, ends) -> np.ndarray:
     """Like textbytes.span_hashes, but capital letters count as themselves."""
-    power, inverse = tb._power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_CASED[data] * power[: len(data)], out=total[1:])
-    return (total[ends] - total[begins]) * inverse[begins] + (ends - begins).astype(np.uint64)
+    return tb.span_sums(data, _CASED, begins, ends) + (ends - begins).astype(np.uint64)
 
 
 # 1: ASCII letters, 2: ASCII punctuation, 3: ASCII digits
@@ -181,7 +178,7 @@ def _part_starts(data: np.ndarray, offsets: np.ndarray, whole: list[tuple[int, i
     return np.flatnonzero(cut[:n])
 
 
-def encoded(batches: Iterator[pa.RecordBatch], column: str, path: str, limit: int = 2 << 20):
+def encoded(batches: Iterator[pa.RecordBatch], column: str, path: str, limit: int = tb.SLICE_BYTES):
     """For slices of batches: the slice, its ids with the end id of each text, and places."""
     encoder = Encoder.of(path)
     for batch in batches:

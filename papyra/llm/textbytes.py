@@ -14,10 +14,13 @@ hash is about n * n / 2**65: one in a thousand for 10**8 different shingles comp
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+BLOCK = 1 << 16  # bytes whose terms of a hash are summed at once
 
 U64 = np.uint64
 _rng = np.random.default_rng(0x5EED)
@@ -31,21 +34,62 @@ _LENGTH = U64(0xC2B2AE3D27D4EB4F)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-_powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-
-def _power_tables(n: int):
-    """Powers of the hash base and of its inverse modulo 2**64, kept between calls."""
-    global _powers
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        tables = []
-        for base in (_BASE, _INVERSE):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            tables.append(np.cumprod(steps, dtype=np.uint64))
-        _powers = tuple(tables)
-    return _powers
+def _powers(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base % (1 << 64), np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+# Powers of the hash base and of its inverse modulo 2**64 within a block; their number does not depend on the texts.
+_LOW, _LOW_INVERSE = _powers(_BASE, BLOCK), _powers(_INVERSE, BLOCK)
+_STEP, _STEP_INVERSE = pow(_BASE, BLOCK, 1 << 64), pow(_INVERSE, BLOCK, 1 << 64)
+
+
+def _sums(data: np.ndarray, table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums over i < p of table[data[i]] * base**i modulo 2**64, for each place p of ``at`` (ascending)."""
+    out = np.empty(len(at), np.uint64)
+    carried = U64(0)
+    step = 1
+    edges_ = np.searchsorted(at, np.arange(0, len(data) + BLOCK + 1, BLOCK))
+    total = np.empty(BLOCK + 1, np.uint64)
+    for i, first in enumerate(range(0, len(data) + 1, BLOCK)):
+        part = data[first : first + BLOCK]
+        sums = total[: len(part) + 1]
+        sums[0] = carried
+        np.multiply(table[part], _LOW[: len(part)], out=sums[1:])
+        sums[1:] *= U64(step)
+        np.cumsum(sums, out=sums)
+        a, b = edges_[i], edges_[i + 1]
+        out[a:b] = sums[at[a:b] - first]
+        carried = sums[-1]
+        step = step * _STEP % (1 << 64)
+    return out
+
+
+def span_sums(data: np.ndarray, table: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each byte span, the sum of table[byte] * base**(place in the span) modulo 2**64."""
+    places = np.concatenate([begins, ends])
+    order = np.argsort(places, kind="stable")
+    sums = np.empty(len(places), np.uint64)
+    sums[order] = _sums(data, table, places[order])
+    back = _LOW_INVERSE[begins & (BLOCK - 1)]
+    high = begins >> (BLOCK.bit_length() - 1)
+    if len(high):
+        back *= _powers(_STEP_INVERSE, int(high.max()) + 1)[high]
+    return (sums[len(begins) :] - sums[: len(begins)]) * back
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # not glibc
+    def _trim(_):
+        return 0
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on, and idle ones would add up."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -67,6 +111,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
         last = min(max(last, first + 1), n, first + 65536)
         yield batch.slice(first, last - first)
         first = last
+    give_back()
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -98,12 +143,7 @@ def edges(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def span_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each byte span, with A-Z as a-z; equal spans have equal hashes wherever they lie."""
-    power, inverse = _power_tables(len(data) + 1)
-    total = np.empty(len(data) + 1, np.uint64)
-    total[0] = 0
-    np.multiply(_BYTE[data], power[: len(data)], out=total[1:])
-    np.cumsum(total, out=total)
-    h = (total[ends] - total[begins]) * inverse[begins]
+    h = span_sums(data, _BYTE, begins, ends)
     return mix(h + (ends - begins).astype(np.uint64) * _LENGTH)
 
 

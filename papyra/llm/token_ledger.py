@@ -122,7 +122,7 @@ def count_tokens(docs: DataFrame, texts: list[str], vocabulary: str = "byte_bpe_
 
 def _counted(batch, texts, vocabulary):
     encoder = bpe.Encoder.of(bpe.vocabulary(vocabulary))
-    for part in bpe.tb.slices(batch, texts[0], 2 << 20):
+    for part in bpe.tb.slices(batch, texts[0]):
         counts = []
         for t in texts:
             _, places = encoder.encode(part.column(part.schema.get_field_index(t)))

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from papyra.llm import exact_dedup, lexical_search, periodic_runs
+from papyra.llm import balltree, exact_dedup, lexical_search, periodic_runs
 from papyra.llm import textbytes as tb
 from tests.compare import differences, duck
 from tests.llm.test_operators import SCHEMA, none, odd  # noqa: F401
@@ -221,3 +221,43 @@ def test_terms_end_at_ascii_marks():
     terms, first = lexical_search.term_hashes(pa.array(["A1_b c d", None, "", "a1 B"]))
     assert first.tolist() == [0, 3, 3, 3, 5] and terms[0] == terms[3] and terms[1] == terms[4]
     assert tb.text_buffer(pa.array(["x"]))[0].tolist() == [120]
+
+
+def top_by_hand(vectors, queries, k):
+    out = []
+    for q in queries:
+        whole = lambda v: [floor(256 * x) for x in v]
+        scored = sorted((-sum(a * b for a, b in zip(whole(vectors[q]), whole(v))), i) for i, v in vectors.items() if i != q)
+        out += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scored[:k])]
+    return out
+
+
+def test_large_components_take_part(spark):
+    vectors = {0: [1.0, 1.0], 1: [3e6, 1.0], 2: [0.5, 0.5], 3: [-2e9, 7.0], 4: [2.0**34, -1.0], 50: [500.0, 300.0], 51: [1e6, -2e6]}
+    rows = spark.createDataFrame([(i, v) for i, v in vectors.items()], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in balltree.top_k(rows, rows.where("vec_id % 50 = 0")).orderBy("query_id", "rank").collect()]
+    assert got == top_by_hand(vectors, [0, 50], 5) and got[0] == (0, 1, 4, sum(256 * x * 256 for x in (2**34, -1)))
+    with pytest.raises(Exception, match="2\\*\\*62"):
+        balltree.top_k(rows, rows.where("vec_id = 4").selectExpr("50 AS vec_id", "embedding")).collect()
+
+
+def test_several_shards_and_groups(spark, monkeypatch):
+    for name, value in (("SHARD_ROWS", 70), ("QUERY_ROWS", 9)):
+        monkeypatch.setattr(balltree, name, value)
+    rng = np.random.default_rng(4)
+    vectors = {i: rng.integers(-40, 40, 6).astype(float).tolist() for i in range(400)}
+    rows = spark.createDataFrame([(i, v) for i, v in vectors.items()], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in balltree.top_k(rows, rows.where("vec_id % 10 = 0")).orderBy("query_id", "rank").collect()]
+    assert got == top_by_hand(vectors, range(0, 400, 10), 5)
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, tb.BLOCK - 1, tb.BLOCK, tb.BLOCK + 1, 3 * tb.BLOCK + 7])
+def test_span_sums_over_block_edges(n):
+    rng = np.random.default_rng(n)
+    data = rng.integers(0, 256, n).astype(np.uint8)
+    begins = rng.integers(0, n + 1, 40)
+    ends = np.array([rng.integers(b, min(n, b + 50) + 1) for b in begins])
+    base, want = tb._BASE, []
+    for b, e in zip(begins.tolist(), ends.tolist()):
+        want.append(sum(int(tb._BYTE[x]) * pow(base, i, 1 << 64) for i, x in enumerate(data[b:e])) % (1 << 64))
+    assert tb.span_sums(data, tb._BYTE, begins, ends).tolist() == want
