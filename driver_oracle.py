@@ -223,6 +223,33 @@ def _incremental(stored: bool, more: str = "") -> str:
     """)
 
 
+SESSIONS = """
+  WITH timed AS (SELECT *, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 6 HOUR AS opens FROM events),
+  numbered AS (SELECT *, count(*) FILTER (opens) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM timed)
+  SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start,
+         strftime(max(ts) + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S') AS session_end, count(*) AS events,
+         array_to_string(list_sort(list(DISTINCT event_type)), ',') AS kinds
+  FROM numbered GROUP BY user_id, session
+"""
+
+
+def _rank_rounds(rounds: int) -> str:
+    """Each round of the co-authorship rank as a table of its own."""
+    steps = """
+      , node AS MATERIALIZED (SELECT DISTINCT k, author_id FROM credit),
+      wide AS (SELECT k, count(*) - 1 AS others FROM node GROUP BY k),
+      link AS MATERIALIZED (SELECT k, author_id, others FROM node JOIN wide USING (k)),
+      r0 AS MATERIALIZED (SELECT author_id, count(*) AS papers, sum(others) AS weight, 1.0::DOUBLE AS rank FROM link GROUP BY 1)"""
+    for i in range(rounds):
+        steps += f""",
+      s{i} AS (SELECT k, sum(rank / weight) AS total FROM link JOIN r{i} USING (author_id) WHERE others > 0 GROUP BY k),
+      g{i} AS (SELECT author_id, sum(total - rank / weight) AS gets
+               FROM link JOIN r{i} USING (author_id) JOIN s{i} USING (k) WHERE others > 0 GROUP BY 1),
+      r{i + 1} AS MATERIALIZED (SELECT author_id, papers, weight, 0.15 + 0.85 * coalesce(gets, 0.0) AS rank
+               FROM r{i} LEFT JOIN g{i} USING (author_id))"""
+    return f"{steps} SELECT author_id, papers, round(rank, 6) AS rank FROM r{rounds}"
+
+
 def statements() -> dict[str, str]:
     historical = q(f"SELECT {HISTORICAL_COLUMNS} FROM paper")
     s = {
@@ -506,6 +533,64 @@ def statements() -> dict[str, str]:
                  count(*) FILTER (format = 'arXivRaw' AND n IS NOT NULL) AS with_versions
           FROM sent JOIN tidy USING (k) GROUP BY 1, 2
         """, DELIVERY),
+        "oai_quarantine": """
+          , bad AS (
+            SELECT o_orderkey AS k, (o_orderkey // 30) % 5 AS kind, strftime(o_orderdate, '%Y-%m-%d') AS day
+            FROM orders WHERE o_orderkey % 30 = 0),
+          parts AS (
+            SELECT kind, '<identifier>oai:bad-' || k || '</identifier>' AS own, 'oai:bad-' || k AS identifier,
+                   CASE kind WHEN 3 THEN '' WHEN 4 THEN '<datestamp>soon</datestamp>'
+                        ELSE '<datestamp>' || day || '</datestamp>' END AS stamp,
+                   CASE kind WHEN 0 THEN '<metadata><arXiv><id>' || k
+                        WHEN 1 THEN '<metadata><oai_dc><id>' || k || '</id></oai_dc></metadata>' WHEN 2 THEN ''
+                        ELSE '<metadata><arXivRaw><id>' || k || '</id></arXivRaw></metadata>' END AS body
+            FROM bad)
+          SELECT CASE kind WHEN 0 THEN 'malformed' WHEN 3 THEN 'missing_datestamp' WHEN 4 THEN 'bad_datestamp'
+                      ELSE 'unknown_format' END AS reason,
+                 CASE WHEN kind <> 0 THEN identifier END AS identifier,
+                 '<record><header>' || own || stamp || '</header>' || body || '</record>' AS text
+          FROM parts
+        """.replace(",", "WITH", 1),
+        "oai_counts": q("""
+          , bad AS (SELECT (k // 30) % 5 AS kind FROM raw WHERE k % 30 = 0)
+          SELECT (SELECT count(*) FROM sent) + (SELECT count(*) FROM bad) AS responses,
+                 (SELECT count(*) FROM sent) AS good, count(*) FILTER (kind = 0) AS malformed,
+                 count(*) FILTER (kind IN (1, 2)) AS unknown_format, count(*) FILTER (kind = 3) AS missing_datestamp,
+                 count(*) FILTER (kind = 4) AS bad_datestamp
+          FROM bad
+        """, DELIVERY),
+        "stream_pairing": _incremental(stored=False),
+        "stream_pairing_quarantine": q(f"""
+          , latest AS (SELECT k, format, max(ds) AS ds FROM sent JOIN raw USING (k)
+                       WHERE day(day) IN (30, 31) GROUP BY 1, 2)
+          SELECT 'unpaired' AS reason, format, {iso('ds')} AS ds, count(*) AS lines, count(*) AS papers FROM latest GROUP BY 2, 3
+          UNION ALL
+          SELECT reason, format, {iso('stamp')}, 1, 0
+          FROM (SELECT DISTINCT stamp FROM raw), (SELECT unnest(['arXiv', 'arXivRaw']) AS format),
+               (SELECT unnest(['malformed', 'missing_id']) AS reason)
+          UNION ALL
+          SELECT 'malformed', 'arXiv', {iso('max(day) + 92')}, 1, 0 FROM raw
+        """, DELIVERY),
+        "load_files": q("""
+          SELECT name, (SELECT count(DISTINCT priority) FROM raw) + bad AS files, bad AS failed_files, true AS timed
+          FROM (SELECT unnest(['historical', 'stream']) AS name, unnest([2, 1]) AS bad)
+          UNION ALL
+          SELECT 'incremental', (SELECT count(*) FROM (SELECT DISTINCT format, ds FROM sent)) + 4 * days, 4 * days, true
+          FROM (SELECT count(DISTINCT stamp) AS days FROM raw)
+        """, DELIVERY),
+        "coauthor_components": q("""
+          , RECURSIVE_MARK node AS (
+            SELECT DISTINCT strftime(submitted, '%Y-%m') AS period, paper.k, author_id FROM credit JOIN paper USING (k)),
+          reach AS (
+            SELECT period, author_id, author_id AS seen FROM node
+            UNION
+            SELECT reach.period, b.author_id, reach.seen
+            FROM reach JOIN node a ON a.period = reach.period AND a.author_id = reach.author_id
+            JOIN node b ON b.k = a.k AND b.period = a.period),
+          label AS (SELECT period, author_id, min(seen) AS component FROM reach GROUP BY 1, 2)
+          SELECT period, author_id, component, count(*) OVER (PARTITION BY period, component) AS authors FROM label
+        """, CREDIT).replace("WITH", "WITH RECURSIVE", 1).replace("RECURSIVE_MARK ", ""),
+        "coauthor_rank": q(_rank_rounds(10), CREDIT),
         "trend_by_month": q(f"""
           , monthly AS (SELECT primary_category, date_trunc('month', submitted)::DATE AS month, count(*) AS submissions
                         FROM paper WHERE primary_category <> '' GROUP BY 1, 2)
@@ -567,6 +652,52 @@ def statements() -> dict[str, str]:
           , journal AS (SELECT o_orderpriority AS name, round(avg(o_totalprice), 2) AS impact FROM orders GROUP BY 1)
           SELECT id AS paper_id, journal_ref, impact FROM paper LEFT JOIN journal ON is_published AND priority = name
         """),
+        "journal_impact_asof": q(f"""
+          , figure AS (SELECT o_orderpriority AS name, make_date(year(o_orderdate), 1, 1) AS day, round(avg(o_totalprice), 2) AS impact
+                       FROM orders WHERE year(o_orderdate) NOT IN (1992, 1995, 1996) GROUP BY 1, 2),
+          dated AS (SELECT * FROM paper WHERE is_published AND published IS NOT NULL),
+          found AS (SELECT dated.k, figure.impact, figure.day AS impact_day
+                    FROM dated ASOF JOIN figure ON priority = name AND published >= figure.day)
+          SELECT id AS paper_id, journal_ref, {iso('published')} AS published_date, impact, {iso('impact_day')} AS impact_day
+          FROM paper LEFT JOIN found USING (k)
+        """),
+        "behaviour_sessions": SESSIONS,
+        "stream_sessions": SESSIONS,
+        "distribution_drift": q("""
+          , counts AS (SELECT strftime(submitted, '%Y') AS run, primary_category AS category, count(*) AS n
+                       FROM paper WHERE primary_category <> '' GROUP BY 1, 2),
+          shares AS (SELECT *, n / sum(n) OVER (PARTITION BY run) AS share FROM counts),
+          runs AS (SELECT run, lag(run) OVER (ORDER BY run) AS before FROM (SELECT DISTINCT run FROM counts)),
+          pairs AS (SELECT runs.run, before, category FROM runs JOIN (SELECT DISTINCT category FROM counts) ON true),
+          both_sides AS (SELECT pairs.run, pairs.before, coalesce(a.share, 0) AS p, coalesce(b.share, 0) AS q
+                   FROM pairs LEFT JOIN shares a ON a.run = pairs.run AND a.category = pairs.category
+                   LEFT JOIN shares b ON b.run = pairs.before AND b.category = pairs.category),
+          div AS (SELECT run, before, sum(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END
+                                      + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END) / 2 AS d
+                  FROM both_sides GROUP BY 1, 2)
+          SELECT run, before, CASE WHEN before IS NOT NULL THEN round(d, 6) END AS divergence,
+                 before IS NOT NULL AND d > 0.03 AS alert FROM div
+        """),
+        "profile_bounds": q("""
+          , people AS (SELECT strftime(submitted, '%Y') AS run, count(DISTINCT author_id) AS exact
+                       FROM credit JOIN paper USING (k) GROUP BY 1)
+          SELECT strftime(submitted, '%Y') AS run, count(*) AS papers, any_value(exact) AS exact,
+                 true AS authors_near, true AS median_near
+          FROM paper LEFT JOIN people ON people.run = strftime(submitted, '%Y') GROUP BY 1
+        """, CREDIT),
+        "papers_by_author_indexed": q(
+            f"SELECT {CARD} FROM paper WHERE k % 70 <> 0 AND EXISTS (FROM item "
+            "WHERE item.k = paper.k AND (contains(lower(s_name), 'brand#13') OR contains(lower(p_brand), 'brand#13'))) "
+            "ORDER BY id LIMIT 100"
+        ),
+        "state_last_processed": q("""
+          SELECT paper_id, CASE WHEN touched THEN '2024-02-01 00:00:00' ELSE '2024-01-31 00:00:00' END AS processed FROM merged
+        """, MERGE),
+        "merge_recounted": q("""
+          , listed AS (SELECT k, count(*) AS held FROM mver GROUP BY k)
+          SELECT paper_id, CASE WHEN touched AND NOT is_new THEN held ELSE version_count END AS version_count
+          FROM merged JOIN listed USING (k)
+        """, MERGE),
         "behaviour_windows": """
           SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, user_id, event_type, count(*) AS events
           FROM events GROUP BY date_trunc('hour', ts), user_id, event_type

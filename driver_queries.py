@@ -13,12 +13,15 @@ from pyspark.sql import types as T
 
 from papyra import fixtures as fx
 from papyra.functions import dates, people, text
-from papyra.operators import lookups, merge, normalize, pairing, quality, reports
+from papyra.operators import (
+    drift, lookups, merge, network, normalize, pairing, quality, recommend, reports, search_index,
+)
 from papyra.operators import warehouse as wh
 from papyra.plans import historical, incremental, lake, landing, state
 from papyra.session import configure, scratch
 from papyra.sources import lines, oai
 from papyra.streaming import jobs
+from papyra.streaming import pairing as stream_pairs
 
 LOAD_TIMES = {"upload_db_time", "last_processed"}
 BUCKETS = 16
@@ -131,10 +134,12 @@ def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge_papers(stored, update, fx.RUN_TS)
 
 
-def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _responses(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     path = scratch(spark, "responses")
     writer = fx.responses(spark, sf_dir).write.format("xml")
     writer.option("rowTag", oai.RESPONSE_ROW).option("rootTag", oai.RESPONSE_ROOT).save(path)
+    if damaged:
+        fx.damaged_responses(spark, sf_dir).write.mode("append").text(path)
     return oai.read_responses(spark, path)
 
 
@@ -499,6 +504,54 @@ def stream_late_half(spark, sf_dir):
     return found[0].unionByName(found[1])
 
 
+def _streamed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a spoiled landing zone; time is the delivery day, and a last line far behind ends all waiting."""
+    root, _, end = _spoiled_landing(spark, sf_dir)
+    last_day = F.date_format(F.date_add(F.lit(end).cast("date"), 90), "yyyy-MM-dd")
+    spark.range(1).select(F.lit("arXiv").alias("format"), last_day.alias("ds"), F.lit("{").alias("value")).write.mode(
+        "append").partitionBy("format", "ds").text(root)
+    output = scratch(spark, "pairs")
+    stream_pairs.stream_pairing(
+        spark, root, output, scratch(spark, "checkpoint"), arrived=F.to_timestamp("ds"), glob=EVERY_FILE).awaitTermination()
+    return stream_pairs.read_pairs(spark, output)
+
+
+def stream_pairing(spark, sf_dir):
+    """Papers from pairs that met in a stream-stream join."""
+    outcome = stream_pairs.pairs_outcome(_streamed_pairs(spark, sf_dir), fx.RUN_TS)
+    return _out(outcome.filter("reason is null").drop("reason"))
+
+
+def stream_pairing_quarantine(spark, sf_dir):
+    """Halves that waited in vain, and lines that are no record."""
+    found = stream_pairs.quarantine(_streamed_pairs(spark, sf_dir))
+    return found.groupBy("reason", "format", "ds").agg(F.count("*").alias("lines"), F.countDistinct("paper_id").alias("papers"))
+
+
+def load_files(spark, sf_dir):
+    """Files and failed files that each load counts: a file per order priority, one of cut-off lines and one that
+    cannot be read, which a stream does not see; the spoiled landing zone has a file per format and day of each kind."""
+    source, found = scratch(spark, "snapshot"), []
+    prioritised = fx.snapshot_lines(spark, sf_dir, "o_orderpriority").repartition("o_orderpriority")
+    prioritised.write.partitionBy("o_orderpriority").text(source)
+    fx.cut_lines(spark, sf_dir).repartition(1).write.partitionBy().mode("append").text(f"{source}/o_orderpriority=none")
+    fx.unreadable(spark, f"{source}/o_orderpriority=none/broken.txt.gz")
+    for name in ("historical", "stream"):
+        target, metrics = scratch(spark, "lake"), scratch(spark, "metrics")
+        if name == "historical":
+            historical.load_snapshot(
+                spark, source, target, fx.AS_OF, fx.RUN_TS, metrics=metrics, skip_unreadable=True)
+        else:
+            jobs.stream_historical(
+                spark, f"{source}/*", target, scratch(spark, "checkpoint"), fx.AS_OF, fx.RUN_TS, skip_unreadable=True,
+                metrics=metrics).awaitTermination()
+        found.append((name, spark.read.parquet(metrics)))
+    found.append(("incremental", _loaded(spark, sf_dir, "metrics")))
+    rows = [f.filter("stage = 'extract'").select(
+        F.lit(n).alias("name"), "files", "failed_files", (F.col("seconds") > 0).alias("timed")) for n, f in found]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def stream_then_batch_lake(spark, sf_dir):
     """One lake, the papers of odd orders streamed into it and the others loaded."""
     target, every = scratch(spark, "lake"), fx.snapshot_lines(spark, sf_dir)
@@ -574,6 +627,15 @@ def oai_landing(spark, sf_dir):
     )
 
 
+def oai_quarantine(spark, sf_dir):
+    """Damaged and foreign records among good ones: reason and whole text."""
+    return oai.quarantine(_responses(spark, sf_dir, damaged=True))
+
+
+def oai_counts(spark, sf_dir):
+    return oai.harvest_counts(_responses(spark, sf_dir, damaged=True))
+
+
 # ---- stated uses --------------------------------------------------------------------------
 
 def trend_by_month(spark, sf_dir):
@@ -589,6 +651,24 @@ def coauthors_of(spark, sf_dir):
     return reports.coauthors_of(papers, "Supplier#000000001", "Brand#13")
 
 
+def coauthor_components(spark, sf_dir):
+    """Components of each month's network."""
+    papers = _papers(spark, sf_dir, "items", "people")
+    return network.components(network.incidence(papers, F.date_format("submitted_date", "yyyy-MM")))
+
+
+def coauthor_rank(spark, sf_dir):
+    """Ten rounds over the whole network."""
+    ranked = network.rank(network.incidence(_papers(spark, sf_dir, "items", "people")))
+    return ranked.select("author_id", "papers", F.round("rank", 6).alias("rank"))
+
+
+def recommend_papers(spark, sf_dir):
+    """Five neighbours for every paper whose id is divisible by 20, against all papers."""
+    papers = _papers(spark, sf_dir, "text", "items")
+    return recommend.recommend_papers(papers, F.col("paper_id").cast("long") % 20 == 0)
+
+
 def institution_rank(spark, sf_dir):
     return _out(reports.institution_rank(_papers(spark, sf_dir, "place", "items")))
 
@@ -652,6 +732,83 @@ def behaviour_windows(spark, sf_dir):
     return _out(reports.behaviour_windows(fx.table(spark, sf_dir, "events")))
 
 
+def journal_impact_asof(spark, sf_dir):
+    """Impact as of the publication: a yearly figure per journal, with years left out."""
+    day = F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1))
+    yearly = fx.table(spark, sf_dir, "orders").groupBy(
+        F.concat(F.lit("j.  "), F.lower(F.split_part("o_orderpriority", F.lit("-"), F.lit(2)))).alias("journal"), day.alias("day")
+    ).agg(F.round(F.avg("o_totalprice"), 2).alias("impact")).filter("year(day) not in (1992, 1995, 1996)")
+    papers = _papers(spark, sf_dir, "items")
+    found = reports.enrich_with_journals_asof(papers, yearly, F.col("published_date"), rows_per_task=1000)
+    return _out(found, "paper_id", "journal_ref", "published_date", "impact", "impact_day")
+
+
+def behaviour_sessions(spark, sf_dir):
+    """Events, every third of which is delivered twice."""
+    events = fx.table(spark, sf_dir, "events")
+    return _out(reports.behaviour_sessions(events.unionAll(events.filter("event_id % 3 = 0")), "6 hours"))
+
+
+def stream_sessions(spark, sf_dir):
+    """The same as a stream; a last event far behind closes all sessions."""
+    source, output = scratch(spark, "events"), scratch(spark, "sessions")
+    events = fx.table(spark, sf_dir, "events")
+    events.write.parquet(source)
+    events.filter("event_id % 3 = 0").write.mode("append").parquet(source)
+    last = events.groupBy().agg((F.max("ts") + F.expr("interval 9 days")).alias("ts")).select(
+        F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("user_id"),
+        F.lit("end").alias("event_type"), F.lit(0.0).alias("value"), F.lit("").alias("props"))
+    last.write.mode("append").parquet(source)
+    stream = spark.readStream.schema(events.schema).parquet(source)
+    jobs.stream_sessions(spark, stream, output, scratch(spark, "checkpoint"), "6 hours", "7 days").awaitTermination()
+    return _out(spark.read.parquet(output).filter("user_id >= 0"))
+
+
+def distribution_drift(spark, sf_dir):
+    """Shares of categories per submission year against the year before."""
+    counts = drift.category_counts(_papers(spark, sf_dir, "place", "items"), F.date_format("submitted_date", "yyyy"))
+    return _out(drift.share_drift(counts, 0.03))
+
+
+def profile_bounds(spark, sf_dir):
+    """Monthly sketches, stored and merged to years, against exact figures."""
+    papers, path = _papers(spark, sf_dir, "text", "items", "people"), scratch(spark, "profiles")
+    drift.sketches(papers, F.date_format("submitted_date", "yyyy-MM")).write.parquet(path)
+    told = drift.estimates(drift.merged(spark.read.parquet(path), F.substring("run", 1, 4)))
+    year = F.date_format("submitted_date", "yyyy").alias("run")
+    exact = network.incidence(papers, year).groupBy(F.col("period").alias("run")).agg(F.countDistinct("author_id").alias("exact"))
+    median = papers.select(year, F.length("abstract").alias("length")).join(told.select("run", "median"), "run").groupBy("run").agg(
+        F.avg((F.col("length") < F.col("median")).cast("double")).alias("below"),
+        F.avg((F.col("length") <= F.col("median")).cast("double")).alias("upto"))
+    near = F.abs(F.col("authors") - F.col("exact")) <= 0.08 * F.col("exact")
+    return told.join(exact, "run", "left").join(median, "run").select(
+        "run", "papers", "exact", F.coalesce(near, F.lit(True)).alias("authors_near"),
+        ((F.col("below") <= 0.55) & (F.col("upto") >= 0.45)).alias("median_near"))
+
+
+def papers_by_author_indexed(spark, sf_dir):
+    papers, path = _papers(spark, sf_dir, "text", "place", "items", "people"), scratch(spark, "grams")
+    search_index.write_index(papers, path, parts=16)
+    return _out(search_index.search(papers, path, "BRAND#13", parts=16), *CARD)
+
+
+def state_last_processed(spark, sf_dir):
+    """When each stored paper was last merged: the update runs a day after the first load."""
+    table = state.StateTable(scratch(spark, "state"), BUCKETS)
+    before, update = _sides(spark, sf_dir)
+    state.upsert(spark, table, before, fx.RUN_TS)
+    state.upsert(spark, table, update, "2024-02-01 00:00:00")
+    processed = F.date_format("last_processed", "yyyy-MM-dd HH:mm:ss").alias("processed")
+    return state.read_state(spark, table).select("paper_id", processed)
+
+
+def merge_recounted(spark, sf_dir):
+    """Version counts of the merged lists instead of the update's own."""
+    before, update = _sides(spark, sf_dir)
+    stored = merge.storage_form(before).withColumn("last_processed", F.lit(fx.RUN_TS).cast("timestamp"))
+    return merge.merge_papers(stored, update, fx.RUN_TS, recount_versions=True).select("paper_id", "version_count")
+
+
 def run_metrics(spark, sf_dir):
     outcome = historical.snapshot_outcome(_snapshot_lines(spark, sf_dir), fx.AS_OF, fx.RUN_TS)
     return _out(reports.run_metrics(quality.load_counts(outcome), "r1"))
@@ -672,7 +829,10 @@ ALL = [
     coauthor_strength, coauthors_of, institution_rank, similar_papers, unified_view,
     quality_drift, quality_alerts, replay_quarantine, journal_enrich, behaviour_windows, run_metrics,
     incremental_load_counts, incremental_quarantine, incremental_replay, historical_load_counts,
-    stream_late_half, stream_then_batch_lake, window_counts,
+    stream_late_half, stream_then_batch_lake, window_counts, oai_quarantine, oai_counts, stream_pairing,
+    stream_pairing_quarantine, load_files, coauthor_components, coauthor_rank, recommend_papers,
+    journal_impact_asof, behaviour_sessions, stream_sessions, distribution_drift, profile_bounds,
+    papers_by_author_indexed, state_last_processed, merge_recounted,
 ]
 
 

@@ -164,14 +164,21 @@ def _unless_empty(name: str) -> Column:
     return F.when(F.col(name) != "", F.col(name))
 
 
-def snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshot_lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """The snapshot as JSON lines; null fields are left out of the object."""
     record = F.struct(
         "id", "title", "abstract", _unless_empty("doi").alias("doi"), "categories",
         F.col("journal_ref").alias("journal-ref"), _author_lists().alias("authors_parsed"),
         "submitter", "versions", "update_date",
     )
-    return snapshot(spark, sf_dir).select(F.to_json(record).alias("value"))
+    return snapshot(spark, sf_dir).select(F.to_json(record).alias("value"), *keep)
+
+
+def unreadable(spark: SparkSession, path: str) -> None:
+    """A file whose name promises gzip and whose content is none."""
+    from papyra.sources import files
+
+    files.write_new(spark, path, "this is no gzip file")
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,6 +282,23 @@ def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of harvest records that are none, one for every 30th order: cut off, of a format unknown here, deleted
+    (no metadata), without a day, or with one that is no day."""
+    key = F.col("o_orderkey").cast("string")
+    stamp = F.concat(F.lit("<datestamp>"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("</datestamp>"))
+    kind = F.floor(F.col("o_orderkey") / 30) % 5
+    day = F.when(kind == 3, F.lit("")).when(kind == 4, F.lit("<datestamp>soon</datestamp>")).otherwise(stamp)
+    head = F.concat(F.lit("<header><identifier>oai:bad-"), key, F.lit("</identifier>"), day, F.lit("</header>"))
+    body = (
+        F.when(kind == 0, F.concat(F.lit("<metadata><arXiv><id>"), key))
+        .when(kind == 1, F.concat(F.lit("<metadata><oai_dc><id>"), key, F.lit("</id></oai_dc></metadata>")))
+        .when(kind == 2, F.lit(""))
+        .otherwise(F.concat(F.lit("<metadata><arXivRaw><id>"), key, F.lit("</id></arXivRaw></metadata>"))))
+    text = F.concat(F.lit("<record>"), head, body, F.lit("</record>"))
+    return table(spark, sf_dir, "orders").filter(_every(30)).select(text.alias("value"))
+
+
 def stored_side(records: DataFrame) -> DataFrame:
     """What the state knew before: all but urgent orders, two versions, one category, old doi."""
     known = records.filter("o_orderpriority <> '1-URGENT' and size(versions) > 0")

@@ -116,6 +116,51 @@ def enrich_with_journals(papers: DataFrame, journals: DataFrame) -> DataFrame:
     return papers.withColumn("journal_key", key).join(keyed, "journal_key", "left").drop("journal_key")
 
 
+def enrich_with_journals_asof(
+    papers: DataFrame, journals: DataFrame, day: Column, rows_per_task: int = 1_000_000
+) -> DataFrame:
+    """Adds ``impact`` and ``impact_day``: the journal's last figure at or before the paper's ``day``.
+
+    ``journals`` has journal, day and impact; of two figures of one day the higher counts. Papers and figures are
+    ordered in one window by journal, so no range join is needed. The papers of a large journal are dealt to
+    several windows, each with all figures of that journal. Papers without journal or day have none.
+    """
+    key = F.nullif(_journal_key(F.col("journal_ref")), F.lit(""))
+    keyed = papers.withColumn("_key", key).withColumn("_day", day)
+    datable, rest = keyed.filter("_key IS NOT NULL AND _day IS NOT NULL"), keyed.filter("_key IS NULL OR _day IS NULL")
+    figures = journals.groupBy(_journal_key(F.col("journal")).alias("_key"), F.col("day").alias("_day")).agg(
+        F.max("impact").alias("_impact")).filter("_key <> '' AND _day IS NOT NULL")
+    salts = datable.groupBy("_key").agg(F.ceil(F.count("*") / rows_per_task).cast("int").alias("_salts"))
+    salted = datable.join(salts, "_key").withColumn("_salt", F.pmod(F.xxhash64("paper_id"), F.col("_salts")).cast("int"))
+    spread = figures.join(salts, "_key").select(
+        "_key", "_day", F.struct("_impact", F.col("_day").alias("_at")).alias("_figure"),
+        F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
+    both = salted.drop("_salts").withColumn("_paper", F.lit(1)).unionByName(spread.withColumn("_paper", F.lit(0)), True)
+    upto = Window.partitionBy("_key", "_salt").orderBy("_day", "_paper").rowsBetween(Window.unboundedPreceding, 0)
+    filled = both.withColumn("_last", F.last("_figure", ignorenulls=True).over(upto)).filter("_paper = 1")
+    none = F.lit(None).cast(filled.schema["_last"].dataType)
+    columns = [*papers.columns, F.col("_last._impact").alias("impact"), F.col("_last._at").alias("impact_day")]
+    return filled.select(*columns).unionAll(rest.withColumn("_last", none).select(*columns))
+
+
+def behaviour_sessions(events: DataFrame, gap: str = "30 minutes", watermark: str | None = None) -> DataFrame:
+    """user_id, session_start, session_end (last event plus the gap), events and kinds: events of a user with no more
+    than ``gap`` between neighbours are one session.
+
+    An event that is delivered again counts once, by its event_id. With a ``watermark`` the same call works on a stream, where
+    the engine keeps ids and open sessions in its state until the watermark has passed them.
+    """
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    if watermark:
+        once = timed.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["event_id"])
+    else:
+        once = timed.dropDuplicates(["event_id"])
+    sessions = once.groupBy(F.session_window("ts", gap).alias("session"), "user_id").agg(
+        F.count("*").alias("events"), F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("kinds"))
+    return sessions.select(
+        "user_id", F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"), "events", "kinds")
+
+
 def behaviour_windows(events: DataFrame, window: str = "1 hour", watermark: str = "1 day") -> DataFrame:
     """Events per user, kind and tumbling window; the same call on a batch and on a stream, where
     the watermark bounds the state."""

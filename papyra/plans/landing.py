@@ -42,14 +42,14 @@ def land(
 
     Days without new rows end up empty, which dynamic partition overwrite alone would not do.
     Clearing and writing can be repeated after a failure. Null fields are left out of the JSON.
-    Files are sized as in the lake; ``records`` is read twice.
+    Files are sized as in the lake; ``records`` is computed once and staged.
     """
-    rows = in_window(records, from_date, to_date)
-    clear_days(spark, root, from_date, to_date)
-    (
-        spread.by_folder(rows, ["format", "ds"], max(1, max_records_per_file * 9 // 10))
-        .write.mode("append")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy("format", "ds")
-        .json(root)
-    )
+    with spread.staged(in_window(records, from_date, to_date)) as rows:
+        clear_days(spark, root, from_date, to_date)
+        (
+            spread.by_folder(rows, ["format", "ds"], max(1, max_records_per_file * 9 // 10))
+            .write.mode("append")
+            .option("maxRecordsPerFile", max_records_per_file)
+            .partitionBy("format", "ds")
+            .json(root)
+        )

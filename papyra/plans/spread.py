@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from papyra.session import scratch
+from papyra.sources import files as folders_of
+
 
 def by_folder(rows: DataFrame, keys: list[str], records: int) -> DataFrame:
     """Rows dealt so that a folder of n rows gets about ``n / records`` files, and at least one.
@@ -14,7 +18,8 @@ def by_folder(rows: DataFrame, keys: list[str], records: int) -> DataFrame:
     One pass counts the rows per folder; one row per folder reaches the driver. Folders lie side
     by side in the order of their keys, and each task takes a stretch of about equal length: small
     folders share a task and are written by it alone, a hot one is cut into parts by a hash of
-    its rows. ``rows`` is read twice, so pass a written table rather than a long lineage.
+    its rows, which only such rows are hashed for. ``rows`` is read twice, so pass a written table (``staged``)
+    rather than a long lineage.
     """
     spark = rows.sparkSession
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("n")).orderBy(*keys).collect()
@@ -25,14 +30,24 @@ def by_folder(rows: DataFrame, keys: list[str], records: int) -> DataFrame:
         folders.append((*r[:-1], at, r.n, math.ceil(r.n / records)))
         at += r.n
     files = sum(f[-1] for f in folders)
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = min(files, max(least, math.ceil(total / records)))
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    tasks = min(files, max(2 * least, math.ceil(total / records)))
     own = [f"__{k}" for k in keys]
     types = ", ".join(f"{o} {rows.schema[k].dataType.simpleString()}" for o, k in zip(own, keys))
     placed = spark.createDataFrame(folders, f"{types}, __at long, __n long, __parts long")
     # keys may be null, as a folder name may
     same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own)]
-    part = F.pmod(F.xxhash64(*rows.columns), F.col("__parts"))
+    part = F.when(F.col("__parts") > 1, F.pmod(F.xxhash64(*rows.columns), F.col("__parts"))).otherwise(0)
     start = F.col("__at") + F.floor(part * F.col("__n") / F.col("__parts"))
     task = F.least(F.floor(start * tasks / total), F.lit(tasks - 1)).cast("int")
-    return rows.join(placed, same, "left").repartitionById(tasks, task).select(*rows.columns)
+    # one row per folder, as the driver holds it already
+    return rows.join(F.broadcast(placed), same, "left").repartitionById(tasks, task).select(*rows.columns)
+
+
+@contextmanager
+def staged(rows: DataFrame):
+    """The rows written to the shared working folder, so that reading them twice computes them once."""
+    path = scratch(rows.sparkSession, "staged")
+    rows.write.parquet(path)
+    yield rows.sparkSession.read.schema(rows.schema).parquet(path)
+    folders_of.remove(rows.sparkSession, path)

@@ -38,6 +38,12 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def length(spark: SparkSession, uri: str) -> int:
+    """Bytes of a file under the name that Spark lists it by."""
+    fs, target = _open(spark, spark._jvm.java.net.URI(uri))
+    return fs.getFileStatus(target).getLen()
+
+
 def age_hours(spark: SparkSession, path: str) -> float:
     fs, target = _open(spark, path)
     return time.time() / 3600 - fs.getFileStatus(target).getModificationTime() / 3_600_000

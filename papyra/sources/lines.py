@@ -25,19 +25,28 @@ LANDING = struct(
 )
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a snapshot file or folder on any file system Spark can read."""
-    return spark.read.text(path)
+def read_snapshot(spark: SparkSession, path: str, skip_unreadable: bool = False) -> DataFrame:
+    """Lines of a snapshot file or folder on any file system Spark can read, with the file they are in.
 
+    With ``skip_unreadable`` a file that cannot be read does not end the job: what was read before the damage
+    counts, and a file that gave no record is counted as failed by the loads.
+    """
+    return _with_file(spark.read.option("ignoreCorruptFiles", skip_unreadable).text(path))
+
+
+def stream_snapshot(spark: SparkSession, path: str, skip_unreadable: bool = False) -> DataFrame:
+    return _with_file(spark.readStream.option("ignoreCorruptFiles", skip_unreadable).text(path))
 
-def stream_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.text(path)
 
+def _with_file(lines: DataFrame) -> DataFrame:
+    return lines.select("value", F.col("_metadata.file_path").alias("file"))
 
-def _placed(lines: DataFrame) -> DataFrame:
+
+def _placed(lines: DataFrame, *more: Column) -> DataFrame:
     """Format and day from the path of each line, and where in which file it was."""
     path = F.col("_metadata.file_path")
     return lines.select(
+        *more,
         "value",
         F.regexp_extract(path, LANDING_PATH, 1).alias("format"),
         F.regexp_extract(path, LANDING_PATH, 2).alias("ds"),
@@ -78,23 +87,26 @@ def day_folders(
 
 def read_landing(
     spark: SparkSession, root: str, from_date: str, to_date: str,
-    formats=FORMATS, glob: str = "*.json",
+    formats=FORMATS, glob: str = "*.json", skip_unreadable: bool = False,
 ) -> DataFrame:
     """Landing lines of the days in ``[from, to)``; files of other days are never listed.
 
-    A range without any day folder gives an empty frame.
+    A range without any day folder gives an empty frame. ``skip_unreadable`` is as in ``read_snapshot``.
     """
     folders = day_folders(spark, root, from_date, to_date, formats)
     if not folders:
         return spark.createDataFrame([], LANDING)
-    reader = spark.read.option("pathGlobFilter", glob)
+    reader = spark.read.option("pathGlobFilter", glob).option("ignoreCorruptFiles", skip_unreadable)
     return in_reading_order(_placed(reader.text(folders)))
 
 
-def stream_landing(spark: SparkSession, root: str, glob: str = "*.json") -> DataFrame:
-    """Without the row number, which a stream cannot give: add it batch by batch."""
+def stream_landing(spark: SparkSession, root: str, glob: str = "*.json", arrival: bool = False) -> DataFrame:
+    """Without the row number, which a stream cannot give: add it batch by batch.
+
+    ``arrival`` adds ``arrived``, the time at which the line's file was written.
+    """
     lines = spark.readStream.option("pathGlobFilter", glob).text(f"{root}/*/*")
-    return _placed(lines)
+    return _placed(lines, *([F.col("_metadata.file_modification_time").alias("arrived")] if arrival else []))
 
 
 def parse(lines: DataFrame) -> DataFrame:

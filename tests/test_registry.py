@@ -14,13 +14,17 @@ QUICK = [
     "dropped_records", "average_updates_by_category", "publication_delay", "papers_by_category",
     "papers_by_author", "merge_versions", "merge_categories", "wh_authors", "wh_categories",
     "institution_rank", "trend_by_month", "coauthor_strength", "unpaired_records", "oai_arxiv",
-    "quality_drift", "similar_papers",
+    "quality_drift", "similar_papers", "coauthor_components", "coauthor_rank", "oai_counts", "oai_quarantine",
+    "distribution_drift", "profile_bounds", "journal_impact_asof", "behaviour_sessions", "papers_by_author_indexed",
 ]
 
+# found through random projections: tests/test_uses.py has its recall and its scores
+NO_SQL = {"recommend_papers"}
+
 
 def test_every_query_has_sql():
     own = set(driver_queries.registry())
-    assert own == set(driver_oracle.statements()) and own <= set(entry.queries())
+    assert own - NO_SQL == set(driver_oracle.statements()) and own <= set(entry.queries())
 
 
 def test_every_document_reaches_an_abstract(spark, small):
