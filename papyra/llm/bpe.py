@@ -21,7 +21,7 @@ import pyarrow as pa
 from papyra.llm import textbytes as tb
 
 END_ID = 0
-CACHE_PARTS = 1 << 18
+CACHE_PARTS = 1 << 20
 
 # A part of letters alone is one piece of the library's own split, so its model can take it as is.
 _LETTERS = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
