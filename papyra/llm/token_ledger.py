@@ -7,7 +7,9 @@ A batch of changes is committed once under its own name:
 * delete: the document's id and tokenizer version only (of an unknown one: no change).
 
 A commit looks up what the ledger holds of the changed documents and writes signed rows: the old state
-negative, the new one positive. Rows and the sums over them, by group, go into folders named by the
+negative, the new one positive. Rows lie in ``BUCKETS`` folders by a hash of document and version, and a commit reads
+only the buckets it touches, cut down to its own documents before anything is summed: a small batch does not
+pay for the history of all others. Rows and the sums over them, by group, go into folders named by the
 batch; the last step writes the batch's commit record. Readers see committed batches only, a batch that is
 committed again does nothing, and one that broke off is written anew over its remains. Totals are sums
 over the small per-batch sums, never over documents. ``compact`` folds the document rows of all batches into
@@ -33,6 +35,17 @@ GROUP = ["source", "lang", "tokenizer"]
 ROWS = "doc_id long, tokenizer string, source string, lang string, sign int, tokens long, chars long"
 TOTALS = "source string, lang string, tokenizer string, docs long, tokens long, chars long"
 COMMITS = "batch string, rows long"
+KEY = ["doc_id", "tokenizer"]
+BUCKETS = 64
+
+
+def _bucket():
+    return F.pmod(F.xxhash64(*KEY), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def _held(rows: DataFrame) -> DataFrame:
+    sums = [F.sum(F.col("sign") * F.col(c)).alias(c) for c in ("tokens", "chars")]
+    return rows.groupBy("doc_id", *GROUP).agg(F.sum("sign").alias("held"), *sums).where("held > 0").drop("held")
 
 
 class Ledger:
@@ -52,13 +65,18 @@ class Ledger:
         batches = self.committed()
         if not batches:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{part}/{b}" for b in batches])
+        root = f"{self.path}/{part}"
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/batch={b}" for b in batches])
 
     def documents(self) -> DataFrame:
         """What the ledger holds now: one row per document and tokenizer version."""
-        sums = [F.sum(F.col("sign") * F.col(c)).alias(c) for c in ("tokens", "chars")]
-        return self._read("rows", ROWS).groupBy("doc_id", *GROUP).agg(F.sum("sign").alias("held"), *sums).where(
-            "held > 0").drop("held")
+        return _held(self._read("rows", f"{ROWS}, bucket int"))
+
+    def documents_of(self, keys: DataFrame) -> DataFrame:
+        """What the ledger holds of some documents (doc_id, tokenizer, bucket); other buckets are not read."""
+        touched = [r.bucket for r in keys.select("bucket").distinct().collect()]  # BUCKETS numbers at most
+        rows = self._read("rows", f"{ROWS}, bucket int").where(F.col("bucket").isin(touched))
+        return _held(rows.join(keys.select("bucket", *KEY), ["bucket", *KEY], "left_semi"))
 
     def totals(self) -> DataFrame:
         return self._read("totals", TOTALS).groupBy(*GROUP).agg(
@@ -75,7 +93,11 @@ class Ledger:
                          F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"))
         last = changes.where("doc_id IS NOT NULL AND tokenizer IS NOT NULL").groupBy(
             F.col("doc_id").cast("long").alias("doc_id"), "tokenizer").agg(F.max(value).alias("new"))
-        old = self.documents().select(
+        last = last.select("*", _bucket())
+        pending = f"{self.path}/pending/{batch}"
+        last.write.mode("overwrite").parquet(pending)
+        last = self.spark.read.schema(last.schema).parquet(pending)
+        old = self.documents_of(last).select(
             "doc_id", "tokenizer", F.struct("tokens", "chars", "source", "lang").alias("old"))
         both = last.join(old, ["doc_id", "tokenizer"], "left")
         row = lambda s, sign: F.struct(
@@ -84,11 +106,12 @@ class Ledger:
             F.when(F.col("old").isNotNull(), row("old", -1)), F.when(F.col("new.rank") < 2, row("new", 1)))
         signed = both.select("doc_id", "tokenizer", F.explode(F.filter(parts, lambda x: x.isNotNull())).alias("r")).select(
             "doc_id", "tokenizer", "r.source", "r.lang", "r.sign", "r.tokens", "r.chars")
-        signed.write.mode("overwrite").parquet(f"{self.path}/rows/{batch}")
-        written = self.spark.read.schema(ROWS).parquet(f"{self.path}/rows/{batch}")
+        own = f"{self.path}/rows/batch={batch}"
+        signed.select("*", _bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(own)
+        written = self.spark.read.schema(ROWS).parquet(own)
         written.groupBy(*GROUP).agg(
             F.sum("sign").cast("long").alias("docs"), *[F.sum(F.col("sign") * F.col(c)).alias(c) for c in ("tokens", "chars")]
-        ).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/totals/{batch}")
+        ).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/totals/batch={batch}")
         record = written.agg(F.lit(batch).alias("batch"), F.count("*").alias("rows"))
         record.write.mode("overwrite").parquet(f"{self.path}/commits/{batch}")
         return True
@@ -104,9 +127,10 @@ class Ledger:
 def count_tokens(docs: DataFrame, texts: list[str], vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
     """The rows of docs with the number of tokens of each named text column as ``<name>_tokens``.
 
-    Counts are without end id; null texts have 0. The text columns themselves are left out."""
+    Counts are without end id; null texts have 0. The text columns themselves are left out, and a column that has
+    the name of a count gives way to it."""
     ship(docs.sparkSession)
-    kept = [c for c in docs.columns if c not in texts]
+    kept = [c for c in docs.columns if c not in texts and c not in {f"{t}_tokens" for t in texts}]
     schema = docs.select(*kept).schema
     for t in texts:
         schema = schema.add(f"{t}_tokens", "long")

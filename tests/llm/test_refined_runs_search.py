@@ -12,8 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from papyra.llm import balltree, exact_dedup, lexical_search, periodic_runs
+from papyra.llm import balltree, exact_dedup, lexical_search, periodic_runs, token_ledger
 from papyra.llm import textbytes as tb
+from papyra.session import scratch
 from tests.compare import differences, duck
 from tests.llm.test_operators import SCHEMA, none, odd  # noqa: F401
 
@@ -261,3 +262,41 @@ def test_span_sums_over_block_edges(n):
     for b, e in zip(begins.tolist(), ends.tolist()):
         want.append(sum(int(tb._BYTE[x]) * pow(base, i, 1 << 64) for i, x in enumerate(data[b:e])) % (1 << 64))
     assert tb.span_sums(data, tb._BYTE, begins, ends).tolist() == want
+
+
+CHANGES = "doc_id long, tokenizer string, source string, lang string, chars long, tokens long, op string, seq int"
+
+
+def test_ledger_totals_equal_a_dictionary(spark):
+    rng, ledger, held = random.Random(3), token_ledger.Ledger(spark, scratch(spark, "ledger")), {}
+    for batch in range(4):
+        rows = []
+        for seq in range(60):
+            op = rng.choice(["insert", "revise", "delete"])
+            value = (rng.choice(["s", "t", None]), rng.choice(["en", None]), rng.randint(0, 9), rng.choice([None, 5, 7]))
+            doc, version = rng.randint(0, 30), rng.choice(["v1", "v2"])
+            rows.append((doc, version, *(value if op != "delete" else (None,) * 4), op, seq))
+            if op == "delete":
+                held.pop((doc, version), None)
+            else:
+                held[doc, version] = value
+        changes = spark.createDataFrame([*rows, (None, "v1", "s", "en", 1, 1, "insert", 0), (1, None, "s", "en", 1, 1, "insert", 0)], CHANGES)
+        assert ledger.commit(f"b{batch}", changes) and not ledger.commit(f"b{batch}", changes)
+        want = Counter(), Counter(), Counter()
+        for (doc, version), (source, lang, chars, tokens) in held.items():
+            for total, n in zip(want, (1, tokens or 0, chars)):
+                total[source, lang, version] += n
+        got = {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens, r.chars) for r in ledger.totals().collect()}
+        assert got == {k: tuple(total[k] for total in want) for k in want[0]}
+        assert ledger.documents().count() == len(held)
+    one = spark.createDataFrame([(5, "v1")], "doc_id long, tokenizer string").select("*", token_ledger._bucket())
+    plan = ledger.documents_of(one)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [bucket" in plan or "PartitionFilters: [isnotnull(bucket" in plan
+    # cut down to the batch's documents before the sums
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
+
+
+def test_counted_columns_may_clash(spark):
+    docs = spark.createDataFrame([(1, "two words", 99)], "doc_id long, text string, text_tokens int")
+    got = token_ledger.count_tokens(docs, ["text"])
+    assert got.columns == ["doc_id", "text_tokens"] and got.first().text_tokens not in (0, 99)
