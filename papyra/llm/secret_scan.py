@@ -3,14 +3,10 @@
 Base patterns (fixed values) give spans of kinds assign, access and hex: whole matches, leftmost and
 non-overlapping per kind, too short ones dropped after matching.
 
-The lexer reads a text as name-literal pairs of the usual syntaxes: ``name = "literal"``, ``name: literal``,
-``"name": "literal"``, ``name := literal``, ``name => literal``. A value that names an earlier
-name, plainly or as ``$name`` or ``${name}``, stands for that name's literal (constant propagation, also
-over several steps), and the span is that of the literal. A bare value is read for pairs again from its start
-(``user=a&pwd=b``, ``args: --pwd=b``, ``env: NAME=b``); before ``&name=`` it ends if what stands there is a reference or scores, else it
-is taken whole. Pairs within a literal that was found add nothing. A literal is scored by the words of the
+The lexer (``assignments``) reads a text as name-literal pairs of the usual source and configuration syntaxes, with
+constants put in where they are used. A literal is scored by the words of the
 name that receives it and by its own strength; from ``LEAST_SCORE`` on it is a span of kind lex, unless a
-base span covers it.
+base span covers it. Pairs within a literal that was found add nothing.
 
 Positions are code points, ends exclusive. Null texts are empty. Each row is scanned by itself, so
 repeated rows give repeated results, and an empty table gives none. Other columns pass through.
@@ -28,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from papyra.llm import assignments
 from papyra.llm import textbytes as tb
 from papyra.llm.ship import ship
 
@@ -39,13 +36,6 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # runs of 16 or more, as runs are taken whol
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 KINDS = ("assign", "access", "hex", "lex")
 
-# A name is tried once per run of its characters, and what a bare value consists of is scanned once.
-PAIR = re.compile(
-    r"""(?:(["'`])|(?<![A-Za-z0-9_.-])[0-9.-]*+)([A-Za-z_][A-Za-z0-9_.-]*+)(?(1)\1)[\x20\t]*(?::=|=>|=|:)(?!=)[\x20\t]*"""
-    r"""(?:"([^"\n]*)"|'([^'\n]*)'|`([^`\n]*)`|(?=[A-Za-z0-9+/_.=$@!#%^&*~{}-])())""", re.A)
-BARE = re.compile(r"[A-Za-z0-9+/_.=$@!#%^&*~{}-]+", re.A)
-NEXT_FIELD = re.compile(r"&(?=[A-Za-z_][A-Za-z0-9_.-]*+=)", re.A)
-REFERENCE = re.compile(r"\$?\{?([A-Za-z_][A-Za-z0-9_.]*)\}?", re.A)
 NAME_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", re.A)
 # Words of names and their weights, alone and in pairs.
 SENSITIVE = {
@@ -92,36 +82,18 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def lexed_spans(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, receiving name, score) of literals that a sensitive name receives."""
-    literals: dict[str, tuple[int, int]] = {}
     found: dict[tuple[int, int], tuple[str, float]] = {}
-    at, bare_end, covered, fields = 0, 0, 0, []
-    while m := PAIR.search(text, at):
-        name = m[2]
-        group = next(g for g in (3, 4, 5, 6) if m[g] is not None)
-        start, end = m.span(group)
-        bare, at = group == 6, m.end()
-        ends = [end]
-        if bare:
-            if start >= bare_end:
-                bare_end = BARE.match(text, start).end()
-                fields = [f.start() for f in NEXT_FIELD.finditer(text, start, bare_end)][::-1]
-            while fields and fields[-1] < start:
-                fields.pop()
-            ends = [*fields[-1:], bare_end]
-        weight, literal = name_weight(name), (start, ends[0])
-        for end in ends:
-            span = start, end
-            if (r := REFERENCE.fullmatch(text, start, end)) and r[1] in literals and (bare or text[start] == "$"):
-                span = literal = literals[r[1]]
-            elif end <= covered:
-                continue
-            score = weight * literal_strength(text[slice(*span)]) if weight else 0.0
-            if score >= LEAST_SCORE:
-                if score > found.get(span, ("", 0.0))[1]:
-                    found[span] = (name, round(score, 4))
-                covered = max(covered, end)
-                break
-        literals[name] = literal
+    covered, taken = 0, set()
+    for name, start, end, value in assignments.pairs(text):
+        weight = name_weight(name)
+        if not weight or ((start, end) not in found and (end <= covered or start in taken)):
+            continue
+        score = weight * literal_strength(value)
+        if score >= LEAST_SCORE:
+            if score > found.get((start, end), ("", 0.0))[1]:
+                found[start, end] = (name, round(score, 4))
+            taken.add(start)
+            covered = max(covered, end)
     return sorted((a, b, *x) for (a, b), x in found.items())
 
 
@@ -150,8 +122,7 @@ def _candidates(column: pa.Array) -> list[int]:
     places = offsets.tolist()
     for i, (a, b) in enumerate(zip(places, places[1:])):
         if i not in chosen and (
-            raw.find(b"AKIA", a, b) >= 0
-            or (low.find(b"=", a, b) >= 0 or low.find(b":", a, b) >= 0) and any(low.find(s, a, b) >= 0 for s in STEMS)
+            raw.find(b"AKIA", a, b) >= 0 or any(low.find(s, a, b) >= 0 for s in STEMS)
         ):
             chosen.add(i)
     return sorted(chosen)
