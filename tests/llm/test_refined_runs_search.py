@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from papyra.llm import balltree, exact_dedup, lexical_search, periodic_runs, token_ledger
+from papyra.llm import balltree, exact_dedup, lexical_search, periodic_runs, secret_scan, token_ledger
 from papyra.llm import textbytes as tb
 from papyra.session import scratch
 from tests.compare import differences, duck
@@ -300,3 +300,46 @@ def test_counted_columns_may_clash(spark):
     docs = spark.createDataFrame([(1, "two words", 99)], "doc_id long, text string, text_tokens int")
     got = token_ledger.count_tokens(docs, ["text"])
     assert got.columns == ["doc_id", "text_tokens"] and got.first().text_tokens not in (0, 99)
+
+
+V = "Zx9aQ81mmPq2"
+LITERALS = [
+    ('password = "ab\\"cd1234XYzz"', 'ab\\"cd1234XYzz'), ('pwd = "Zx9a" + "Q81mmPq2"', 'Zx9a" + "Q81mmPq2'),
+    (f'<add key="DbPwd" value="{V}"/>', V), (f"<pwd>{V}</pwd>", V), (f"pwd: >-\n  {V}\nnext: 1", V), (f'pwd = """{V}"""', V),
+    (f'#define PWD "{V}"', V), (f'let pwd: string = "{V}"', V), (f'cfg["pwd"] = "{V}"', V), (f"run --pwd {V} x", V),
+    (f'k = "{V}"\npwd = f"{{k}}"', V), (f'pwd =\n    "{V}"', V), (f'pwd = "{V}" # c', V), (f"{{'pwd': '{V}'}}", V),
+    (f"pwd=`{V}`", V), (f'a = {{ k = "{V}" }}\npwd = k', None), (f'{{ k = "{V}"; pwd = k }}', V), ("pwd = 'it\\'s9Zx8Qq77'", "it\\'s9Zx8Qq77"),
+    (f"export PWD={V};", V), (f'pwd => "{V}"', V), (f"don't use pwd: \"{V}\"", V), ('k = "Zx9a"\npwd = "Q81mmPq2" + k', 'Q81mmPq2" + k'),
+    (f'if pwd == "{V}":', None), (f'<a href="x">{V}</a>', None), (f'"db-pwd" : "{V}"', V), (f"pwd = {V}{'a1' * 3000}", None),
+]
+
+
+@pytest.mark.parametrize("text, want", LITERALS)
+def test_literals_of_many_syntaxes(text, want):
+    found = [text[a:b] for kind, a, b, *_ in secret_scan.scan_text(text) if kind == "lex"]
+    assert found == ([want] if want else [])
+
+
+@pytest.mark.parametrize("unit", [
+    "pwd=", 'pwd="', 'pwd=\\"', '"\\"', 'pwd="""', "<pwd>", "<pwd", "pwd={", "pwd=\n", "&pwd=a", "pwd: |\n ", '"a"+', 'pwd="a"+"b"',
+    "--pwd ", 'pwd=f"{pwd}', "pwd:", "pwd: ", "pwd:a<", 'pwd=f"{pwd}{pwd}"\n', "}{", '""" ', "a", "1-"])
+def test_lexing_takes_linear_time(unit):
+    seconds = []
+    for n in (20_000, 320_000):
+        begin = time.process_time()
+        secret_scan.lexed_spans(unit * (n // len(unit)))
+        seconds.append(time.process_time() - begin)
+    assert seconds[1] < 40 * max(seconds[0], 0.02)
+
+
+def test_base_spans_equal_the_patterns_over_all_documents(spark, small):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    for r in secret_scan.digest(secret_scan.scan(spark.read.parquet(f"{small}/documents.parquet"))).collect():
+        text, found = texts[r.doc_id], []
+        found += [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 12]
+        found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+        found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+        shown = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(found))
+        assert r.base_sha256 == hashlib.sha256(shown.encode()).hexdigest() and r.spans == shown
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in found) for i in range(3))
