@@ -560,6 +560,13 @@ def statements() -> dict[str, str]:
           FROM bad
         """, DELIVERY),
         "stream_pairing": _incremental(stored=False),
+        "landing_rejects": q("""
+          SELECT 'unknown_format' AS reject, 'other' AS format, count(*) AS lines FROM sent WHERE format = 'arXiv'
+          UNION ALL
+          SELECT reason, format, count(DISTINCT stamp)
+          FROM raw, (SELECT unnest(['malformed', 'missing_id']) AS reason), (SELECT unnest(['arXiv', 'arXivRaw']) AS format)
+          GROUP BY 1, 2
+        """, DELIVERY),
         "stream_pairing_quarantine": q(f"""
           , latest AS (SELECT k, format, max(ds) AS ds FROM sent JOIN raw USING (k)
                        WHERE day(day) IN (30, 31) GROUP BY 1, 2)
@@ -579,15 +586,17 @@ def statements() -> dict[str, str]:
           FROM (SELECT count(DISTINCT stamp) AS days FROM raw)
         """, DELIVERY),
         "coauthor_components": q("""
-          , RECURSIVE_MARK node AS (
+          , RECURSIVE_MARK node AS MATERIALIZED (
             SELECT DISTINCT strftime(submitted, '%Y-%m') AS period, paper.k, author_id FROM credit JOIN paper USING (k)),
-          reach AS (
-            SELECT period, author_id, author_id AS seen FROM node
+          near AS MATERIALIZED (
+            SELECT DISTINCT a.period, a.author_id, b.author_id AS other FROM node a JOIN node b ON a.k = b.k AND a.period = b.period),
+          label(period, author_id, component) USING KEY (period, author_id) AS (
+            SELECT DISTINCT period, author_id, author_id FROM node
             UNION
-            SELECT reach.period, b.author_id, reach.seen
-            FROM reach JOIN node a ON a.period = reach.period AND a.author_id = reach.author_id
-            JOIN node b ON b.k = a.k AND b.period = a.period),
-          label AS (SELECT period, author_id, min(seen) AS component FROM reach GROUP BY 1, 2)
+            SELECT label.period, other, min(label.component)
+            FROM label JOIN near ON near.period = label.period AND near.author_id = label.author_id
+            JOIN recurring.label AS held ON held.period = label.period AND held.author_id = other
+            WHERE label.component < held.component GROUP BY 1, 2)
           SELECT period, author_id, component, count(*) OVER (PARTITION BY period, component) AS authors FROM label
         """, CREDIT).replace("WITH", "WITH RECURSIVE", 1).replace("RECURSIVE_MARK ", ""),
         "coauthor_rank": q(_rank_rounds(10), CREDIT),
