@@ -290,14 +290,24 @@ def window_counts(spark, sf_dir):
 
 
 def last_wins(spark, sf_dir):
-    records = lines.landing_records(_landing_lines(spark, sf_dir))
+    records = lines.landing_records(_landing_lines(spark, sf_dir), ["title", "datestamp"])
     latest = pairing.last_wins(records, ["title", "datestamp"])
     return latest.select("id", "format", F.md5("title").alias("title_md5"), "datestamp")
 
 
 def unpaired_records(spark, sf_dir):
-    records = lines.landing_records(_landing_lines(spark, sf_dir))
-    return pairing.unpaired(pairing.side_by_side(records))
+    records = lines.landing_records(_landing_lines(spark, sf_dir), [])
+    return pairing.unpaired(pairing.side_by_side(records, ["id"], ["id"]))
+
+
+def landing_rejects(spark, sf_dir):
+    """Lines that are no record by reason, some under a format of their own."""
+    root, first, end = _spoiled_landing(spark, sf_dir)
+    foreign = fx.deliveries(spark, sf_dir).filter("format = 'arXiv'").withColumn("format", F.lit("other"))
+    foreign.select("format", "ds", "id").write.mode("append").partitionBy("format", "ds").json(root)
+    read = lines.read_landing(spark, root, first, end, formats=("arXiv", "arXivRaw", "other"), glob=EVERY_FILE)
+    found = lines.landing_lines(read, names=[]).filter("reject is not null")
+    return found.groupBy("reject", "format").agg(F.count("*").alias("lines"))
 
 
 def incremental_refusals(spark, sf_dir):
@@ -620,7 +630,7 @@ def oai_landing(spark, sf_dir):
     root = scratch(spark, "raw")
     first, end = fx.delivery_days(spark, sf_dir)
     landing.land(spark, oai.harvested(_responses(spark, sf_dir)), root, first, end)
-    records = lines.landing_records(lines.read_landing(spark, root, first, end))
+    records = lines.landing_records(lines.read_landing(spark, root, first, end), ["authors", "versions"])
     return records.groupBy("format", "ds").agg(
         F.count("*").alias("records"), F.count("authors").alias("with_authors"),
         F.count("versions").alias("with_versions"),
@@ -832,7 +842,7 @@ ALL = [
     stream_late_half, stream_then_batch_lake, window_counts, oai_quarantine, oai_counts, stream_pairing,
     stream_pairing_quarantine, load_files, coauthor_components, coauthor_rank, recommend_papers,
     journal_impact_asof, behaviour_sessions, stream_sessions, distribution_drift, profile_bounds,
-    papers_by_author_indexed, state_last_processed, merge_recounted,
+    papers_by_author_indexed, state_last_processed, merge_recounted, landing_rejects,
 ]
 
 

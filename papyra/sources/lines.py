@@ -166,11 +166,14 @@ def _journal(record: Column, name: str) -> Column:
     return F.when(empty_value, F.lit("")).otherwise(raw.text_if_given(record, name))
 
 
-def landing_lines(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def landing_lines(
+    lines: DataFrame, keep: list[str] | None = None, names: list[str] | None = None
+) -> DataFrame:
     """Every landing line, typed, with its reading order.
 
     Each format fills its own fields and its own problems. ``reject`` says why a line is no record
-    at all (malformed, unknown_format, missing_id) and is null for a record.
+    at all (malformed, unknown_format, missing_id) and is null for a record. ``names`` are the typed columns
+    to read besides ``id`` and ``reject``, all unless given, as in ``snapshot_records``.
     """
     r = F.col("record")
     is_metadata = F.col("format") == METADATA
@@ -209,9 +212,11 @@ def landing_lines(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
             )
         ),
     }
-    return _emit(parse(lines), ["format", "ds", "file", "block", "row", *(keep or [])], columns)
+    wanted = columns if names is None else ["id", *[n for n in names if n != "id"], "reject"]
+    return _emit(
+        parse(lines), ["format", "ds", "file", "block", "row", *(keep or [])], {n: columns[n] for n in wanted})
 
 
-def landing_records(lines: DataFrame) -> DataFrame:
+def landing_records(lines: DataFrame, names: list[str] | None = None) -> DataFrame:
     """The typed records alone: lines that are none are left out, see ``landing_lines``."""
-    return landing_lines(lines).filter("reject is null").drop("reject")
+    return landing_lines(lines, names=names).filter("reject is null").drop("reject")

@@ -117,6 +117,14 @@ def test_counters_read_no_other_columns(spark, small):
     assert "authors" not in reasons._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_landing_lines_parse_wanted_columns_only(spark):
+    batch = placed(spark, ("arXiv", "2024-01-01", META % "a"))
+    text = lines.landing_records(batch, ["title"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "title" in text and "abstract" not in text and "versions" not in text and "submitter" not in text
+    assert lines.landing_records(batch, []).columns == ["format", "ds", "file", "block", "row", "id"]
+    assert lines.landing_records(batch).select("id", "title").collect() == [("a", "t")]
+
+
 def test_batch_and_stream_loads_agree(spark, small):
     source, batch, streamed, bad = (scratch(spark, n) for n in ("in", "batch", "stream", "bad"))
     cut = F.col("value").contains('"id":"00001')
