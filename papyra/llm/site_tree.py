@@ -15,14 +15,25 @@ an element's importance on m pages of a host is a mean, weighted m - 1 to ``BACK
 of what the other hosts say of the same path: their importances, weighted by m - 1 each, and ``UNKNOWN`` with
 ``BACK_OFF``. Two pages of a host are enough to remove what both share; single pages rest on other hosts.
 
+Copies of a page (mirrors, print views, session ids) are no template. A page is known by its longest blocks, those
+that make up half of its text outside elements with noise names; pages of a host that agree in them are one page,
+which each element enters as it stands in one of the copies.
+
 The tree holds all elements, and names only weigh on an element's importance: ``NOISE_WEIGHT`` in elements whose
 tag, role, class or id names a menu, advert, notice, form and so on (``NOISE_*``), ``OUTSIDE_WEIGHT`` outside the article
-or main element of a page that has one, both multiplied. A name says nothing about an element that holds
-a landmark, an h1 or more than half of the page's text: it is a wrapper. What nothing is known of has importance
+or main element of a page, both multiplied. A class or id is such a name if all its words are noise words or say
+only where or how (``PLACE_WORDS``): "site-footer" and "ad-box" are, "no-sidebar", "legal-news" and "side-by-side" are not.
+A name says nothing about an element that holds a landmark, an h1 or more than half of the page's text: it is a
+wrapper. Articles that hold less text than what stands outside of them under no noise name are teasers: then no
+place is outside. What nothing is known of has importance
 ``UNKNOWN``, which a noise name alone brings under the least and a place outside a landmark does not. A noise name and
-a place outside the landmark together do so for any importance; either alone leaves important text.
+a place outside the landmark together do so for any importance, as adverts have texts of their own on every page
+and no statistic tells them from a story; either alone leaves important text.
 Headings and paragraphs that stand right in an article are kept, as the same article may be published many times.
 
+An element weighs on the branches up to ``REACH`` levels above it; farther up its weight is under a thousandth and
+counts as none. Parsing takes time and memory in proportion to the page, however deep or unclosed its elements are.
+
 Blocks are the text between block-level tags: character references decoded, white space turned into
 one space, trimmed, joined in page order by an empty line. Broken mark-up never fails: what does not
 close ends with its parent, scripts and comments that do not end reach to the end of the page. Null
@@ -51,6 +62,7 @@ UNKNOWN = 0.55
 BACK_OFF = 1.0
 NOISE_WEIGHT, OUTSIDE_WEIGHT = 45, 60  # hundredths, so that their sums are exact
 DECAY = 0.9
+REACH = 64
 
 RAW = "script|style|noscript|template|textarea|iframe|title|svg|math|object|audio|video|canvas"
 TOKEN = re.compile(
@@ -85,19 +97,32 @@ NOISE_WORDS = set(
     "comment comments disqus discussion reply replies respond share sharing social related recommended "
     "login search toolbar pagination pager copyright legal disclaimer header topbar skip".split()
 )
+PLACE_WORDS = set(
+    "site page main top bottom left right inner outer wrapper wrap container box block area bar list item items section "
+    "panel primary secondary global mobile desktop fixed sticky row col column link links button buttons icon icons "
+    "group holder slot unit zone module form user users reader readers posts articles policy media google thread "
+    "image text inline small large first last".split()
+)
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 LANDMARKS = {"article", "main"}
 FLOW = set("h1 h2 h3 h4 h5 h6 p blockquote pre figure figcaption".split())
 
 
 class _Element:
-    __slots__ = ("tag", "key", "path", "parent", "noise", "main", "flow", "inline", "holds", "chars", "weight", "children")
+    __slots__ = ("tag", "key", "path", "parent", "noise", "main", "flow", "inline", "holds", "chars", "weight", "children",
+                 "block", "gone")
 
     def __init__(self, tag, key, path, parent, noise, main, flow, inline=False):
         self.tag, self.key, self.path, self.parent = tag, key, path, parent
         self.noise, self.main, self.flow, self.inline = noise, main, flow, inline
         self.holds, self.chars, self.weight = False, 0, 100
         self.children = []
+        self.block, self.gone = parent.block if inline else self, False
+
+
+def _noise_name(words: list[str]) -> bool:
+    words = [w.lower() for w in words if len(w) > 1]
+    return any(w in NOISE_WORDS for w in words) and all(w in NOISE_WORDS or w in PLACE_WORDS for w in words)
 
 
 def _name(tag: str, attributes: str, inside_main: bool) -> tuple[str, bool, bool]:
@@ -117,7 +142,7 @@ def _name(tag: str, attributes: str, inside_main: bool) -> tuple[str, bool, bool
         elif which in ("class", "id"):
             words = NAME_WORDS.findall(value)
             if tag not in ("html", "body") and not landmark:
-                noise = noise or any(w.lower() in NOISE_WORDS for w in words)
+                noise = noise or any(_noise_name(NAME_WORDS.findall(name)) for name in value.split())
             names.append(("." if which == "class" else "#") + "-".join(words).lower())
     return tag + "".join(sorted(names)), noise, landmark
 
@@ -130,18 +155,29 @@ def parse(page: str):
     root = _Element("", 0, (), None, False, False, False)
     stack, elements, blocks, text = [root], [root], [], []
     line, gap = 0, False
+    open_at: dict[str, list[int]] = {}  # places in the stack of the open elements of each tag
+    scopes = [0]
+
+    def push(e):
+        open_at.setdefault(e.tag, []).append(len(stack))
+        if e.tag in SCOPES:
+            scopes.append(len(stack))
+        stack.append(e)
+
+    def last_open(tags):
+        """Place of the last open element of these tags within the scope, or 0."""
+        i = max((open_at[t][-1] for t in tags if open_at.get(t)), default=0)
+        return i if i > scopes[-1] else 0
 
     def end_block(within_line=False):
         nonlocal line, gap
         if text:
             raw = entities.unescape("".join(text))
             if joined := " ".join(raw.split()):
-                owner = next(e for e in reversed(stack) if not e.inline)
+                owner = stack[-1].block
                 blocks.append((owner, joined, line, gap or raw[0].isspace()))
                 gap = raw[-1].isspace()
-                while owner is not None:
-                    owner.chars += len(joined)
-                    owner = owner.parent
+                owner.chars += len(joined)
             else:
                 gap = gap or bool(raw)
             text.clear()
@@ -152,7 +188,11 @@ def parse(page: str):
         closed = [e for e in stack[i:] if not e.inline]
         if closed:
             end_block(all(e.tag in INLINE for e in closed))
-        del stack[i:]
+        while len(stack) > i:
+            tag = stack.pop().tag
+            open_at[tag].pop()
+            if tag in SCOPES:
+                scopes.pop()
 
     at = 0
     for m in TOKEN.finditer(page):
@@ -164,29 +204,19 @@ def parse(page: str):
             continue
         tag = tag.lower()
         if m[2] or m[5]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    pop_to(i)
-                    break
+            if open_at.get(tag):
+                pop_to(open_at[tag][-1])
             continue
         top = stack[-1]
         if tag in INLINE and tag not in VOID and not (m[4] or m[7] or "").strip():
-            stack.append(_Element(tag, top.key, top.path, top.parent, False, top.main, top.flow, True))
+            push(_Element(tag, top.key, top.path, top, False, top.main, top.flow, True))
             continue
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    pop_to(i)
-                    break
-                if stack[i].tag in SCOPES:
-                    break
+        if tag in CLOSES_P and (i := last_open(("p",))):
+            pop_to(i)
         if tag in CLOSES_SELF:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in CLOSES_SELF[tag]:
-                    pop_to(i)
-                    if tag != "tr" or i and stack[-1].tag not in CLOSES_SELF[tag]:
-                        break
-                elif stack[i].tag in SCOPES:
+            while i := last_open(CLOSES_SELF[tag]):
+                pop_to(i)
+                if tag != "tr":
                     break
         if tag in VOID:
             if tag not in INLINE:
@@ -199,27 +229,34 @@ def parse(page: str):
         if noise or tag not in INLINE:
             end_block(tag in INLINE)
         if tag in INLINE and not noise:
-            stack.append(_Element(tag, top.key, top.path, top.parent, False, top.main, top.flow, True))
+            push(_Element(tag, top.key, top.path, top, False, top.main, top.flow, True))
             continue
         key = xxhash.xxh64_intdigest(f"{top.key}/{name}") - (1 << 63)
-        parent = next(e for e in reversed(stack) if not e.inline)
-        child = _Element(tag, key, (*top.path, key), parent, noise, top.main or landmark,
+        parent = top.block
+        child = _Element(tag, key, (*top.path[1 - REACH :], key), parent, noise, top.main or landmark,
                          top.main and tag in FLOW and (top.flow or top.tag in LANDMARKS) or landmark)
         if landmark or tag == "h1":
-            holder = child if landmark else parent
-            while holder is not None and not holder.holds:
-                holder.holds = True
-                holder = holder.parent
+            (child if landmark else parent).holds = True
         parent.children.append(name)
-        stack.append(child)
+        push(child)
         elements.append(child)
     if at < len(page):
         text.append(page[at:])
     end_block()
-    landmarks = any(e.main for e in elements)
-    for e in elements[1:]:  # parents come before what is in them
-        e.noise = e.parent.noise or e.noise and not e.holds and 2 * e.chars <= root.chars
+    inside = {id(e): e.chars for e in elements if e.chars}
+    for e in reversed(elements[1:]):  # parents come before what is in them
+        e.parent.chars += e.chars
+        e.parent.holds = e.parent.holds or e.holds
+    within = outside = 0
+    for e in elements:
+        if e is not root:
+            e.noise = e.parent.noise or e.noise and not e.holds and 2 * e.chars <= root.chars
         e.flow = e.flow and not e.noise
+        if not e.noise:
+            within += inside.get(id(e), 0) if e.main else 0
+            outside += 0 if e.main else inside.get(id(e), 0)
+    landmarks = within > 0 and within >= outside
+    for e in elements[1:]:
         e.weight = (NOISE_WEIGHT if e.noise else 100) * (OUTSIDE_WEIGHT if landmarks and not e.main else 100) // 100
     return blocks, elements
 
@@ -227,8 +264,12 @@ def parse(page: str):
 def main_text(page: str, removed: set[int]) -> str:
     """Text of the blocks that stay; ``removed`` has the keys of unimportant branches."""
     out, last, index = [], None, None
-    for i, (e, text, line, gap) in enumerate(parse(page)[0]):
-        if removed and not e.flow and removed.intersection(e.path):
+    blocks, elements = parse(page)
+    if removed:
+        for e in elements[1:]:
+            e.gone = e.parent.gone or e.key in removed
+    for i, (e, text, line, gap) in enumerate(blocks):
+        if e.gone and not e.flow:
             continue
         if out:
             out.append("\n\n" if line != last else " " if gap or index != i - 1 else "")
@@ -241,7 +282,18 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
-FEATURES = "host string, page long, key long, path array<long>, weight long, style long, texts array<long>"
+def page_identity(page: str, blocks) -> int:
+    """Hash of the longest blocks that make up half of the text outside noise names; of the page if there are none."""
+    texts = sorted({text for e, text, *_ in blocks if not e.noise}, key=lambda t: (-len(t), t))
+    held, half = 0, sum(map(len, texts)) / 2
+    for n, text in enumerate(texts, 1):
+        held += len(text)
+        if held >= half:
+            return _hash("\n".join(texts[:n]))
+    return _hash(page)
+
+
+FEATURES = "host string, page long, copy long, key long, path array<long>, weight long, style long, texts array<long>"
 
 
 def _features(batches):
@@ -259,14 +311,14 @@ def _features(batches):
                 for e, text, *_ in blocks:
                     if e.key in merged:
                         merged[e.key][3].append(_hash(text))
-                whole = _hash(page)
+                identity, whole = page_identity(page, blocks), _hash(page)
                 for key, (path, weight, styles, texts) in merged.items():
-                    row = host, whole, key, path, weight, _hash("|".join(dict.fromkeys(styles))), sorted(set(texts))
+                    row = host, identity, whole, key, path, weight, _hash("|".join(dict.fromkeys(styles))), sorted(set(texts))
                     for name, value in zip(out, row):
                         out[name].append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(out.values(), (
-                    pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.list_(pa.int64())))],
+                    pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.list_(pa.int64())))],
                 names=list(out))
 
 
@@ -274,14 +326,15 @@ def branch_importance(pages: DataFrame) -> DataFrame:
     """host, key, pages, importance of every branch, and the best of its texts, from (host, html)."""
     ship(pages.sparkSession)
     seen = pages.select("host", "html").mapInArrow(_features, FEATURES)
-    # a row per different page and element; copies of a page fall together before they are counted
-    spread = seen.select(
-        "host", "key", "page", "path", "weight",
+    # an element counts once per different page, as it stands in one of the page's copies
+    once = seen.groupBy("host", "key", "page").agg(
+        F.min(F.struct("copy", "weight", "style", "texts", "path")).alias("e"))
+    spread = once.select(
+        "host", "key", "e.path", "e.weight",
         F.explode(F.concat(
-            F.array(F.struct(F.lit(0).alias("kind"), F.col("style").alias("value"))),
-            F.transform("texts", lambda t: F.struct(F.lit(1).alias("kind"), t.alias("value"))))).alias("f"),
-    ).groupBy("host", "key", F.col("f.kind").alias("kind"), F.col("f.value").alias("value"), "page").agg(
-        F.any_value("path").alias("path"), F.max("weight").alias("weight"))
+            F.array(F.struct(F.lit(0).alias("kind"), F.col("e.style").alias("value"))),
+            F.transform("e.texts", lambda t: F.struct(F.lit(1).alias("kind"), t.alias("value"))))).alias("f"),
+    ).select("host", "key", "path", "weight", F.col("f.kind").alias("kind"), F.col("f.value").alias("value"))
     counts = spread.groupBy("host", "key", "kind", "value").agg(
         F.count("*").cast("double").alias("n"), F.sum("weight").alias("weight"), F.any_value("path").alias("path"))
     per_key = counts.groupBy("host", "key").agg(
