@@ -133,20 +133,37 @@ def decode_blocks(words, first_word, escapes, first_escape, n_ids: int) -> np.nd
     return ids[inside < np.repeat(held, lengths)]
 
 
+# Spark's names of object stores and those of the file layer that writes the shards
+SCHEMES = {"": "file", "file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs", "hdfs": "hdfs",
+           "viewfs": "viewfs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def known_uri(uri: str) -> str:
+    """The location as the file layer names it; raises for a scheme that it does not know."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        return uri
+    if scheme.lower() not in SCHEMES:
+        raise ValueError(f"no file layer for {uri!r}; known are {', '.join(filter(None, SCHEMES))}")
+    rest = "//" + rest if scheme == "file" and not rest.startswith("//") else rest
+    return f"{SCHEMES[scheme.lower()]}:{rest}"
+
+
 def _file_system(uri: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(known_uri(uri))
 
 
 class ShardWriter:
-    """Appends documents; the file takes its name when it is whole, so a lost task leaves none."""
+    """Appends documents to one file, whose name belongs to one attempt of a task.
+
+    Nothing is renamed, which no object store does in one step: a file counts once the index names it."""
 
     def __init__(self, uri: str):
         self.fs, self.path = _file_system(uri)
         self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
-        self.part = f"{self.path}.{uuid.uuid4().hex}"
-        self.out = self.fs.open_output_stream(self.part)
+        self.out = self.fs.open_output_stream(self.path)
         self.rest = np.empty(0, np.uint32)
         self.words, self.escapes, self.doc_ids, self.doc_lengths = [], [], [], []
         self.raw = []
@@ -181,7 +198,6 @@ class ShardWriter:
         self.out.write(FOOTER.pack(
             MAGIC, BLOCK_IDS, words[-1], escapes[-1], len(words) - 1, len(docs) - 1, self.n_ids))
         self.out.close()
-        self.fs.move(self.part, self.path)
         return self.n_ids
 
 
@@ -233,12 +249,14 @@ def write_tokens(
 ) -> DataFrame:
     """Encode all texts into shards below ``path``; the returned index is stored with them.
 
-    One range shuffle by document id; the range boundaries spread any id distribution, and a
-    partition's texts stream through in slices."""
+    One range shuffle by document id and text hash; the range boundaries spread any id distribution, also many
+    rows of one id, and a partition's texts stream through in slices. Files of lost attempts stay, unnamed by the
+    index, until the folder is cleared."""
+    known_uri(path)
 
     def write(batches):
         writer, n_docs, shard = None, 0, TaskContext.get().partitionId()
-        uri = f"{path}/shard-{shard:08d}.s8b"
+        uri = f"{path}/shard-{shard:08d}-{uuid.uuid4().hex}.s8b"
         for part, ids, places in bpe.encoded(batches, "text", bpe.vocabulary(vocabulary)):
             writer = writer or ShardWriter(uri)
             doc_ids = part.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
@@ -250,8 +268,9 @@ def write_tokens(
 
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(write, INDEX).write.mode("overwrite").parquet(f"{path}/index")
+    dealt = rows.withColumn("h", F.xxhash64("text"))
+    ordered = dealt.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
+    ordered.select("doc_id", "text").mapInArrow(write, INDEX).write.mode("overwrite").parquet(f"{path}/index")
     return docs.sparkSession.read.schema(INDEX).parquet(f"{path}/index")
 
 
