@@ -18,9 +18,10 @@ LEAST_LANGUAGE_SCORE = 0.3
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of no language: null texts, texts without letters, and unsure predictions."""
     network = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
-    guessed = langid.predict(docs, network)
+    clashing = {c: f"__own_{c}" for c in docs.columns if c in ("lang_pred", "score")}
+    guessed = langid.predict(docs.withColumnsRenamed(clashing), network)
     kept = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return guessed.where(kept).drop("lang_pred", "score")
+    return guessed.where(kept).drop("lang_pred", "score").withColumnsRenamed({b: a for a, b in clashing.items()})
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
