@@ -13,7 +13,12 @@ never expanded into pairs. ``BANDS`` bands of ``ROWS`` coordinates give the buck
 1. every class is compared with the least class that it meets in any of its buckets;
 2. in each bucket that holds more than one component, with the least and then with the greatest
    class of the bucket;
-3. what still meets in buckets without being in one component is a family; its classes are dealt in
+3. what still meets in buckets without being in one component is grouped anew by rare shingles. Of a set of n
+   shingles at least need = ceil(0.8 n) are in any set that is similar enough, so two such sets share one of the
+   n - need + 1 shingles that come first in the order of how many of these classes hold them (exact prefix
+   filtering). A shingle of one class leads nowhere: texts of one template, half alike, have none in common there
+   and need no comparison;
+4. classes that meet in such a shingle without being in one component are a family; its classes are dealt in
    blocks of about ``BLOCK``, and each pair of blocks is compared by an inverted index of one of them.
 
 A comparison reads both whole shingle sets. Pairs that are in one component already need no
@@ -46,6 +51,7 @@ COORDINATES = 96
 BANDS, ROWS = 24, 4
 MEMBERS_PER_TASK_GROUP = 256
 BLOCK = 512
+HOT_SHARE = 1000  # shingles with a thousandth of all rows: at most so many, sent to all tasks
 U64 = np.uint64
 
 
@@ -104,6 +110,19 @@ def _sketches(k: int):
     return run
 
 
+def _sets(k: int):
+    """The set of each text: id, label, n, shingles."""
+
+    def run(batches):
+        for batch in batches:
+            for part in tb.slices(batch, "text"):
+                values, places = tb.shingle_sets(part.column(2), k)
+                sets = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(values.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(np.diff(places)), sets], names=["id", "label", "n", "shingles"])
+    return run
+
+
 def _compare(k: int, percent: int):
     """Rows (centre, salt, kind, id, text) sorted so: a centre's row (kind 0), then its members."""
 
@@ -230,12 +249,32 @@ class _Job:
         dealt = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "kind", "id")
         return self.keep(dealt.mapInArrow(_compare(self.k, self.percent), "a long, b long"))
 
+    def rare_groups(self, members: DataFrame, texts: DataFrame) -> DataFrame:
+        """Classes (id, label, least) by the rare shingles that they share with a class of another component."""
+        classes = members.select("id", "label").distinct().join(texts, "id").select("id", "label", "text")
+        sets = self.keep(classes.mapInArrow(_sets(self.k), "id long, label long, n long, shingles array<long>"))
+        held = sets.select("id", "n", F.explode("shingles").alias("shingle"))
+        shared = self.keep(held.groupBy("shingle").agg(F.count("*").alias("classes")).where("classes > 1"))
+        total = shared.agg(F.coalesce(F.sum("classes"), F.lit(0)).alias("t")).first()["t"]
+        hot = F.broadcast(shared.where(F.col("classes") * HOT_SHARE >= total))
+        counted = held.join(hot, "shingle").unionAll(
+            held.join(hot.select("shingle"), "shingle", "left_anti")
+            .join(shared.where(F.col("classes") * HOT_SHARE < total), "shingle").select("shingle", "id", "n", "classes"))
+        # shingles of one class come first in the order and take places of the prefix
+        length = F.col("n") - F.expr(f"({self.percent} * n + 99) div 100") + 1
+        first = length - (F.col("n") - F.size("common"))
+        prefix = counted.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("classes", "shingle"))).alias("common"))
+        rare = self.keep(prefix.where(first > 0).select(
+            "id", F.explode(F.slice("common", F.lit(1), first.cast("int"))).alias("s")
+        ).select("id", "s.shingle").join(sets.select("id", "label"), "id"))
+        groups = rare.groupBy("shingle").agg(
+            F.min("id").alias("least"), F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1")
+        return self.keep(rare.join(groups, "shingle").select("id", "label", "least"))
+
     def links_in_families(self, members: DataFrame, texts: DataFrame) -> DataFrame:
-        """Links between components among classes that meet in buckets: (bucket, id, label, least)."""
+        """Links between components among classes that meet in groups: (id, label, least)."""
         alone = members.select("id").distinct().withColumn("label", F.col("id"))
         meets = members.select(F.col("least").alias("a"), F.col("id").alias("b")).where("a <> b").distinct()
-        # the least class of a bucket may be in no unresolved bucket itself
-        alone = alone.unionAll(meets.select(F.col("a").alias("id"), F.col("a").alias("label"))).distinct()
         families = self.components(self.keep(alone), meets).withColumnRenamed("label", "family")
         blocks = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         labels = members.groupBy("id").agg(F.min("label").alias("component"))
@@ -309,7 +348,9 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
             if members.isEmpty():
                 break
             if step == "all":
-                labels = job.components(labels, job.links_in_families(members, texts))
+                members = job.rare_groups(members, texts)
+                if not members.isEmpty():
+                    labels = job.components(labels, job.links_in_families(members, texts))
                 break
             other = labels.select(F.col("id").alias(step), F.col("label").alias("x"))
             pairs = members.join(other, step).where("x <> label").select(
