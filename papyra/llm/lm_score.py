@@ -1,73 +1,98 @@
-"""Cross-entropy difference of whole texts under two matched n-gram models.
+"""Cross-entropy difference of whole texts under two matched bigram models of tokens.
 
-Both models are n-grams of order ``ORDER`` over one vocabulary of ``SYMBOLS`` symbols: bytes with capitals
-as small letters, digits as one symbol, white space as one, and rarer bytes in classes. The target
-model counts the symbols of the target documents, the background model those of all documents, its
-counts scaled to the target's total, so that smoothing weighs alike: with c the counts,
+Tokens are the ids of a public byte-level vocabulary, so all scripts count alike. Both models share one vocabulary:
+the V different tokens that all documents hold. The target model counts the tokens of the target documents, the
+background model those of all documents, its counts scaled to the target's total, so that smoothing weighs alike.
+With c the counts, N the target's total, h the token before w (or the start of the text) and S = ``STRENGTH``:
 
-    p(w | h) = (c(h w) + STRENGTH * p(w | h without its first symbol)) / (c(h) + STRENGTH)
+    p(w)     = (c(w) + S / V) / (N + S)
+    p(w | h) = (c(h w) + S * p(w)) / (c(h) + S)
 
-down to the uniform distribution. A document's score is the mean over its symbols of target loss less
-background loss, in nats: the lower, the more it is like the target.
+A document's score is the mean over its tokens of target loss less background loss, in nats: the lower, the more it
+is like the target.
 
-Counting and scoring read every text whole. Counts are combined within tasks before they are
-shuffled. There are at most SYMBOLS ** ORDER different n-grams (16.8 million), which bounds the table that
-is sent to the tasks at 20 bytes each, however large the corpus is; the counts grow with it.
+All documents are encoded once and written as chunks of about ``CHUNK_TOKENS`` tokens (a text is never cut). Bigrams
+are counted within tasks before they are shuffled, and their table, which grows with the corpus, stays distributed.
+To score, each chunk asks for each of its different bigrams once; the join gives their loss differences, which go
+to the chunk's own group. So a frequent bigram has one row per chunk, and as it is one of very many in each, no
+key holds a large share of the join. Token counts have at most one row per vocabulary entry, which is why they may be
+broadcast. Nothing else is, and the driver sees three numbers.
 
-Null and empty texts have 0 symbols and no score (null). Without target documents all scores are 0,
-as the models are equal. Repeated rows are counted and scored as often as they occur; a document is a
-target if any row of the labels says so. An empty table gives no rows. Columns other than those named
-are not read.
+Null and empty texts have 0 tokens and no score (null). Without target documents all scores are 0, as the models
+are equal. Repeated rows are counted and scored as often as they occur; a document is a target if any row of the
+targets names it, and null ids name nothing. An empty table gives no rows. Columns other than those named are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from papyra.llm import bpe
 from papyra.llm import textbytes as tb
 from papyra.llm.ship import ship
+from papyra.session import scratch
 
-ORDER = 4
-SYMBOLS = 64
 STRENGTH = 8.0
+CHUNK_TOKENS = 1 << 20
+START = (1 << 31) - 1  # stands before the first token of a text
 _HELD = 1 << 21
 
 
-def _symbol_table() -> np.ndarray:
-    """Symbol of each byte: 0 white space and controls, 1-26 letters, 27 digits, 28-42 punctuation,
-    43-58 trailing bytes of UTF-8 by their last four bits, 59-63 leading bytes."""
-    table = np.zeros(256, np.int32)
-    for i in range(26):
-        table[97 + i] = table[65 + i] = 1 + i
-    table[48:58] = 27
-    own = b".,;:!?'\"-()/=_"
-    for b in range(0x21, 0x7F):
-        if not chr(b).isalnum():
-            table[b] = 28 + own.index(b) if b in own else 42
-    for b in range(0x80, 0xC0):
-        table[b] = 43 + (b & 15)
-    for b in range(0xC0, 0x100):
-        table[b] = 59 if b < 0xC4 else 60 if b < 0xD0 else 61 if b < 0xE0 else 62 if b < 0xF0 else 63
-    return table
-
-
-SYMBOL = _symbol_table()
-
-
-def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Code of the ORDER symbols that end at each byte; before a text stand symbols 0."""
-    s = SYMBOL[data]
-    place = np.arange(len(s)) - np.repeat(offsets[:-1], np.diff(offsets))
-    code = s.copy()
-    for j in range(1, ORDER):
-        before = np.zeros_like(s)
-        before[j:] = s[:-j]
-        before[place < j] = 0
-        code += before * np.int32(SYMBOLS**j)
-    return code
+def _width(path: str):
+    """Smallest type that holds every id of the vocabulary."""
+    return np.uint16 if bpe.Encoder.of(path).tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+
+
+def _binary(values: np.ndarray, places: np.ndarray) -> pa.Array:
+    """One binary value per text; a slice's ids stay far below the 2 GiB that its offsets can tell."""
+    offsets = pa.py_buffer((places * values.itemsize).astype(np.int64))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(places) - 1, [None, offsets, pa.py_buffer(values)]).cast(pa.binary())
+
+
+def tokens(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
+    """chunk, doc_id, ids: every whole text as the bytes of its token ids; written and read again."""
+    spark = ship(docs.sparkSession)
+
+    def run(batches):
+        path = bpe.vocabulary(vocabulary)
+        encoder, width = bpe.Encoder.of(path), _width(path)
+        chunk, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            for part in tb.slices(batch, "text"):
+                ids, places = encoder.encode(part.column(1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(part.num_rows, chunk, np.int64)), part.column(0), _binary(ids.astype(width), places)],
+                    names=["chunk", "doc_id", "ids"])
+                size += len(ids)
+                if size >= CHUNK_TOKENS:
+                    chunk, size = chunk + 1, 0
+            tb.give_back()
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    path = scratch(spark, "lm_tokens")
+    schema = f"chunk long, doc_id {kind}, ids binary"
+    docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema).write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def grams(column: pa.Array | pa.ChunkedArray, width) -> tuple[np.ndarray, np.ndarray]:
+    """Bigrams of all texts in a row, the token before in the upper half, and the n + 1 places of the texts."""
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    column = column.cast(pa.large_binary())
+    _, places, data = column.buffers()
+    places = np.frombuffer(places, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    data = np.frombuffer(data or b"", np.uint8)[places[0] : places[-1]]
+    word = np.frombuffer(data.tobytes(), width).astype(np.int64)
+    places = (places - places[0]) // np.dtype(width).itemsize
+    before = np.empty_like(word)
+    before[1:] = word[:-1]
+    before[places[:-1][np.diff(places) > 0]] = START
+    return before << 32 | word, places
 
 
 def _merged(parts):
@@ -79,94 +104,116 @@ def _merged(parts):
     return codes[first], *sums
 
 
-def _count(batches):
-    parts, size = [], 0
-    for batch in batches:
-        for part in tb.slices(batch, "text"):
-            data, offsets = tb.text_buffer(part.column(0))
-            code = grams(data, offsets)
-            target = np.repeat(part.column(1).to_numpy(zero_copy_only=False), np.diff(offsets))
-            order = np.sort(code.astype(np.int64) << 1 | target)
-            edge = np.flatnonzero(np.append(True, order[1:] != order[:-1])) if len(order) else np.empty(0, int)
-            n = np.diff(np.append(edge, len(order)))
-            flag = order[edge] & 1
-            parts.append(_merged([((order[edge] >> 1).astype(np.int32), n * flag, n)]))
-            size += len(parts[-1][0])
-            if size > _HELD:
-                parts = [_merged(parts)]
-                size = 0
-    if parts:
-        codes, target, every = _merged(parts)
-        for i in range(0, len(codes), 1 << 16):
-            own = slice(i, i + (1 << 16))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(codes[own]), pa.array(target[own].astype(np.int64)), pa.array(every[own].astype(np.int64))],
-                names=["gram", "target", "every"])
-
-
-def gram_counts(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """gram, target, every: counts over all documents; ``targets`` holds the doc_id of the targets."""
-    ship(docs.sparkSession)
+def _rows(codes, target, every):
+    for i in range(0, len(codes), 1 << 16):
+        own = slice(i, i + (1 << 16))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(codes[own]), pa.array(target[own]), pa.array(every[own])], names=["gram", "target", "every"])
+
+
+def gram_counts(encoded: DataFrame, targets: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
+    """gram, target, every: counts of all bigrams; ``targets`` holds the doc_id of the target documents."""
+    ship(encoded.sparkSession)
+
+    def run(batches):
+        width = _width(bpe.vocabulary(vocabulary))
+        parts, size = [], 0
+        for batch in batches:
+            # a batch's texts one run of rows after the other, so that memory follows a run and not the batch
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                code, places = grams(part.column(0), width)
+                wanted = np.repeat(part.column(1).to_numpy(zero_copy_only=False), np.diff(places)).astype(np.int64)
+                parts.append(_merged([(code, wanted, np.ones(len(code), np.int64))]))
+                size += len(parts[-1][0])
+                if size > _HELD:
+                    parts = [_merged(parts)]
+                    size = len(parts[0][0])
+                    if size > _HELD // 2:  # too many different ones to be held: the shuffle sums them up
+                        yield from _rows(*parts[0])
+                        parts, size = [], 0
+        if parts:
+            yield from _rows(*_merged(parts))
+        tb.give_back()
+
     wanted = targets.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("is_target", F.lit(True))
-    # labels grow with the documents, so they are joined by a shuffle and never broadcast
-    flagged = docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left").select(
-        F.col("text").cast("string").alias("text"), F.coalesce("is_target", F.lit(False)).alias("target"))
-    return flagged.mapInArrow(_count, "gram int, target long, every long").groupBy("gram").agg(
+    # the targets grow with the documents, so they are joined by a shuffle and never broadcast
+    flagged = encoded.join(wanted.hint("merge"), "doc_id", "left").select("ids", F.coalesce("is_target", F.lit(False)).alias("target"))
+    return flagged.mapInArrow(run, "gram long, target long, every long").groupBy("gram").agg(
         F.sum("target").alias("target"), F.sum("every").alias("every"))
 
 
-def log_probability(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Log p(last symbol | others) of all SYMBOLS ** ORDER grams, from the counts of those seen."""
-    p = np.full(SYMBOLS, 1.0 / SYMBOLS)
-    for k in range(1, ORDER):
-        dense = np.bincount(codes % SYMBOLS**k, weights=counts, minlength=SYMBOLS**k).reshape(-1, SYMBOLS)
-        lower = np.tile(p.reshape(-1, SYMBOLS), (dense.shape[0] // (len(p) // SYMBOLS), 1))
-        p = ((dense + STRENGTH * lower) / (dense.sum(axis=1, keepdims=True) + STRENGTH)).ravel()
-    heads = np.bincount(codes // SYMBOLS, weights=counts, minlength=SYMBOLS ** (ORDER - 1))
-    out = np.empty(SYMBOLS**ORDER, np.float32)
-    view, lower = out.reshape(SYMBOLS, -1, SYMBOLS), p.reshape(-1, SYMBOLS)
-    bottom = np.log(heads + STRENGTH).reshape(SYMBOLS, -1, 1)
-    for i in range(SYMBOLS):
-        view[i] = np.log(STRENGTH * lower) - bottom[i]
-    out[codes] = np.log(counts + STRENGTH * p[codes % SYMBOLS ** (ORDER - 1)]) - np.log(heads[codes // SYMBOLS] + STRENGTH)
-    return out
-
+def loss_differences(counts: DataFrame) -> DataFrame:
+    """gram, loss: target loss less background loss of every bigram of ``counts``, a written table."""
+    token, before = F.expr("cast(gram & 4294967295 as int)"), F.expr("cast(gram >> 32 as int)")
+    rows = counts.select("gram", "target", "every", token.alias("token"), before.alias("before"))
+    of_token = rows.groupBy("token").agg(F.sum("target").alias("token_target"), F.sum("every").alias("token_every"))
+    of_before = rows.groupBy("before").agg(F.sum("target").alias("before_target"), F.sum("every").alias("before_every"))
+    n_target, n_every, size = of_token.agg(F.sum("token_target"), F.sum("token_every"), F.count("*")).first()
+    if not n_target:
+        return counts.select("gram", F.lit(0.0).alias("loss"))
 
-def loss_differences(codes, target, every) -> np.ndarray:
-    """Target loss less background loss of every gram."""
-    total_t, total_b = target.sum(), every.sum()
-    if not total_t:
-        return np.zeros(SYMBOLS**ORDER, np.float32)
-    out = log_probability(codes, every * (total_t / total_b))
-    out -= log_probability(codes, target.astype(np.float64))
-    return out
+    def log_p(kind, scale):
+        low = (F.col(f"token_{kind}") * scale + STRENGTH / size) / (n_target + STRENGTH)
+        return F.log((F.col(kind) * scale + STRENGTH * low) / (F.col(f"before_{kind}") * scale + STRENGTH))
 
+    joined = rows.join(F.broadcast(of_token), "token").join(F.broadcast(of_before), "before")
+    return joined.select("gram", (log_p("every", n_target / n_every) - log_p("target", 1.0)).alias("loss"))
 
-_tables: dict[str, np.ndarray] = {}
 
+def score_tokens(encoded: DataFrame, losses: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
+    """doc_id, n_tokens and score of every row of ``encoded``."""
+    ship(encoded.sparkSession)
 
-def score(docs: DataFrame, counts: DataFrame) -> DataFrame:
-    """doc_id, n_symbols and score of every document under the models of ``counts``."""
-    spark = ship(docs.sparkSession)
-    table = counts.select("gram", "target", "every").toArrow()
-    sent = spark.sparkContext.broadcast(tuple(table[c].to_numpy() for c in ("gram", "target", "every")))
-    name = f"{spark.sparkContext.applicationId}-{id(sent)}-{np.random.default_rng().integers(1 << 62)}"
+    def different(batches):
+        width = _width(bpe.vocabulary(vocabulary))
+        chunk, parts = None, []
 
-    def run(batches):
-        if name not in _tables:
-            _tables.clear()
-            _tables[name] = loss_differences(*sent.value)
-        difference = _tables[name]
-        for batch in batches:
-            for part in tb.slices(batch, "text"):
-                data, offsets = tb.text_buffer(part.column(1))
-                total = np.zeros(len(data) + 1)
-                np.cumsum(difference[grams(data, offsets)], out=total[1:], dtype=np.float64)
-                n = np.diff(offsets)
-                mean = (total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(n, 1)
+        def found():
+            codes = np.unique(np.concatenate(parts))
+            for i in range(0, len(codes), 1 << 16):
+                own = codes[i : i + (1 << 16)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n), pa.array(mean, mask=n == 0)], names=["doc_id", "n_symbols", "score"])
+                    [pa.array(np.full(len(own), chunk, np.int64)), pa.array(own)], names=["chunk", "gram"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_symbols long, score double")
+        for batch in batches:
+            chunks = batch.column(0).to_numpy()
+            edges = np.flatnonzero(np.append(True, chunks[1:] != chunks[:-1])) if len(chunks) else []
+            for a, b in zip(edges, [*edges[1:], len(chunks)]):
+                if chunks[a] != chunk:
+                    if parts:
+                        yield from found()
+                    chunk, parts = int(chunks[a]), []
+                parts.append(np.unique(grams(batch.column(1).slice(a, b - a), width)[0]))
+        if parts:
+            yield from found()
+        tb.give_back()
+
+    def means(texts: pa.Table, known: pa.Table) -> pa.Table:
+        width = _width(bpe.vocabulary(vocabulary))
+        code, places = grams(texts.column("ids"), width)
+        gram, loss = known.column("gram").to_numpy(), known.column("loss").to_numpy()
+        order = np.argsort(gram)
+        total = np.zeros(len(code) + 1)
+        if len(code):
+            np.cumsum(loss[order][np.searchsorted(gram, code, sorter=order)], out=total[1:])
+        n = np.diff(places)
+        mean = (total[places[1:]] - total[places[:-1]]) / np.maximum(n, 1)
+        return pa.Table.from_arrays(
+            [texts.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(mean, mask=n == 0)], names=["doc_id", "n_tokens", "score"])
+
+    asked = encoded.select("chunk", "ids").mapInArrow(different, "chunk long, gram long")
+    answers = asked.join(losses, "gram").select("chunk", "gram", "loss")
+    kind = encoded.schema["doc_id"].dataType.simpleString()
+    return encoded.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        means, f"doc_id {kind}, n_tokens long, score double")
+
+
+def score(docs: DataFrame, targets: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
+    """doc_id, n_tokens and score of every document; ``targets`` holds the doc_id of the target documents."""
+    spark = docs.sparkSession
+    encoded = tokens(docs, vocabulary)
+    path = scratch(spark, "lm_counts")
+    gram_counts(encoded, targets, vocabulary).write.parquet(path)
+    counts = spark.read.schema("gram long, target long, every long").parquet(path)
+    return score_tokens(encoded, loss_differences(counts), vocabulary)

@@ -28,8 +28,7 @@ def op2_lm_score(spark, sf_dir):
     """Target: documents labelled as good; background: all documents."""
     docs = _table(spark, sf_dir, "documents")
     good = _table(spark, sf_dir, "labels").where("quality = 1")
-    scored = lm_score.score(docs, lm_score.gram_counts(docs, good))
-    return scored.select("doc_id", "n_symbols", F.round("score", 6).alias("score"))
+    return lm_score.score(docs, good).select("doc_id", "n_tokens", F.round("score", 6).alias("score"))
 
 
 def op3_html(spark, sf_dir):

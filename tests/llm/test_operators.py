@@ -209,41 +209,48 @@ def test_language(spark, small, odd, none):
     assert {r.lang_pred for r in langid.predict(odd, None).collect()} == {"und"}
 
 
-def test_language_model(spark, odd, none):
+def test_language_model(spark, odd, none, monkeypatch):
     good = spark.createDataFrame([(4,), (4,), (None,)], "doc_id long")
-    out = {r.doc_id: r.score for r in lm_score.score(odd, lm_score.gram_counts(odd, good)).collect()}
-    assert len(out) == len(TEXTS) + 1 and out[0] is None and out[1] is None and out[4] < 0 < out[10]
-    # brute force over strings of symbols
-    k, n = lm_score.ORDER, lm_score.SYMBOLS
-    texts = [r.text or "" for r in odd.collect()]
-    count = {w: [collections.Counter() for _ in range(k + 1)] for w in (0, 1)}
-    symbols = lambda t: [0] * (k - 1) + [int(lm_score.SYMBOL[b]) for b in t.encode()]
-    for r in odd.collect():
-        s = symbols(r.text or "")
-        for i in range(k - 1, len(s)):
-            for j in range(k + 1):
-                count[0][j][tuple(s[i - j + 1 : i + 1])] += 1
-                count[1][j][tuple(s[i - j + 1 : i + 1])] += r.doc_id == 4
-    scale = {0: sum(count[1][1].values()) / sum(count[0][1].values()), 1: 1.0}
-    heads = {w: [collections.Counter() for _ in range(k + 1)] for w in (0, 1)}
-    for w in (0, 1):
-        for j in range(1, k + 1):
-            for g, c in count[w][j].items():
-                heads[w][j][g[:-1]] += c
-
-    def p(w, gram):
-        if not gram:
-            return 1 / n
-        j = len(gram)
-        c, h = count[w][j][gram] * scale[w], heads[w][j][gram[:-1]] * scale[w]
-        return (c + lm_score.STRENGTH * p(w, gram[1:])) / (h + lm_score.STRENGTH)
-
-    for i in (4, 8, 9):
-        s = symbols(texts[i])
-        d = [np.log(p(0, tuple(s[j - k + 1 : j + 1]))) - np.log(p(1, tuple(s[j - k + 1 : j + 1]))) for j in range(k - 1, len(s))]
-        assert abs(np.mean(d) - out[i]) < 1e-4
-    assert all(r.score in (0, None) for r in lm_score.score(odd, lm_score.gram_counts(odd, good.limit(0))).collect())
-    assert lm_score.score(none, lm_score.gram_counts(none, good)).count() == 0
+    encoder = bpe.Encoder(bpe.vocabulary()).tokenizer
+    rows = [(r.doc_id, encoder.encode(r.text or "", add_special_tokens=False).ids) for r in odd.collect()]
+    # brute force over lists of ids, background 0 and target 1
+    pairs, tokens, heads = ([collections.Counter(), collections.Counter()] for _ in range(3))
+    for doc_id, ids in rows:
+        for before, token in zip([None, *ids], ids):
+            for w in (0, 1) if doc_id == 4 else (0,):
+                pairs[w][before, token] += 1
+                tokens[w][token] += 1
+                heads[w][before] += 1
+    total, strength, size = sum(tokens[1].values()), lm_score.STRENGTH, len(tokens[0])
+    scale = total / sum(tokens[0].values()), 1.0
+
+    def log_p(w, before, token):
+        low = (tokens[w][token] * scale[w] + strength / size) / (total + strength)
+        return np.log((pairs[w][before, token] * scale[w] + strength * low) / (heads[w][before] * scale[w] + strength))
+
+    expected = sorted(
+        (str(i), len(ids), np.mean([log_p(0, b, t) - log_p(1, b, t) for b, t in zip([None, *ids], ids)]) if ids else None)
+        for i, ids in rows)
+    for chunk, held in ((lm_score.CHUNK_TOKENS, lm_score._HELD), (50, 40)):  # the small ones: many chunks, early flushes
+        monkeypatch.setattr(lm_score, "CHUNK_TOKENS", chunk)
+        monkeypatch.setattr(lm_score, "_HELD", held)
+        found = sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm_score.score(odd, good).collect())
+        assert [f[:2] for f in found] == [e[:2] for e in expected]
+        assert all(f[2] is e[2] if e[2] is None else abs(f[2] - e[2]) < 1e-9 for f, e in zip(found, expected))
+    score = {f[0]: f[2] for f in found}
+    assert score["0"] is None and score["1"] is None and score["4"] < 0 < score["10"]
+    assert all(r.score in (0, None) for r in lm_score.score(odd, good.limit(0)).collect())
+    assert lm_score.score(none, good).count() == 0
+
+
+def test_language_model_table_is_joined_and_not_sent(spark, odd):
+    """Only the two tables of tokens, bounded by the vocabulary, are broadcast; the bigrams are shuffled."""
+    encoded = lm_score.tokens(odd)
+    path = scratch(spark, "counts")
+    lm_score.gram_counts(encoded, odd.where("doc_id = 4")).write.parquet(path)
+    plan = lm_score.score_tokens(encoded, lm_score.loss_differences(spark.read.parquet(path)).hint("merge"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" in text and "CartesianProduct" not in text
 
 
 def page(main, extra=""):
