@@ -33,7 +33,7 @@ def merge_versions(stored: Column, update: Column) -> Column:
 
 
 def _merged_field(name: str, kind: T.DataType) -> Column:
-    stored, update = F.col(f"stored.{name}"), F.col(f"update.{name}")
+    stored, update = F.col(f"stored_{name}"), F.col(f"update_{name}")
     both = stored.isNotNull() & update.isNotNull()
     if name == "versions":
         return F.when(both, merge_versions(stored, update)).otherwise(F.coalesce(update, stored))
@@ -44,7 +44,7 @@ def _merged_field(name: str, kind: T.DataType) -> Column:
         return F.coalesce(text.empty_to_null(update), stored)
     if isinstance(kind, T.StringType):
         # an empty text never replaces a stored one, but is stored with a new paper
-        fresh = F.when(F.col("stored").isNull(), update).otherwise(F.nullif(update, F.lit("")))
+        fresh = F.when(F.col("is_stored").isNull(), update).otherwise(F.nullif(update, F.lit("")))
         return F.coalesce(fresh, stored)
     return F.coalesce(update, stored)
 
@@ -60,15 +60,16 @@ def merge_papers(
     both sides carry. ``changed_only`` leaves out the kept ones.
     """
     keys = keys or ["paper_id"]
-    pack = lambda frame, name, extra: frame.select(
-        *keys, F.struct(*PAPER_COLUMNS, *extra).alias(name)
+    # plain columns and no structs, so that those a caller does not use are pruned below the join
+    side = lambda frame, name, extra: frame.select(
+        *keys, F.lit(True).alias(f"is_{name}"), *[F.col(c).alias(f"{name}_{c}") for c in [*PAPER_COLUMNS[1:], *extra]]
     )
-    joined = pack(stored, "stored", ["last_processed"]).join(
-        pack(updates, "update", []), keys, "right_outer" if changed_only else "full_outer"
+    joined = side(stored, "stored", ["last_processed"]).join(
+        side(updates, "update", []), keys, "right_outer" if changed_only else "full_outer"
     )
     outcome = (
-        F.when(F.col("update").isNull(), F.lit("kept"))
-        .when(F.col("stored").isNull(), F.lit("new"))
+        F.when(F.col("is_update").isNull(), F.lit("kept"))
+        .when(F.col("is_stored").isNull(), F.lit("new"))
         .otherwise(F.lit("updated"))
     )
     merged = {f.name: _merged_field(f.name, f.dataType) for f in PAPER if f.name != "paper_id"}
@@ -76,7 +77,7 @@ def merge_papers(
         merged["version_count"] = F.when(
             outcome == "updated", F.size(merged["versions"])
         ).otherwise(merged["version_count"])
-    processed = F.when(F.col("update").isNull(), F.col("stored.last_processed")).otherwise(
+    processed = F.when(F.col("is_update").isNull(), F.col("stored_last_processed")).otherwise(
         F.lit(run_ts).cast("timestamp")
     )
     columns = [F.col("paper_id"), *[merged[c].alias(c) for c in PAPER_COLUMNS[1:]]]
