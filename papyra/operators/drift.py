@@ -47,9 +47,11 @@ def share_drift(counts: DataFrame, tolerance: float) -> DataFrame:
         (F.col("before").isNotNull() & (F.col("divergence") > tolerance)).alias("alert"))
 
 
-def sketches(papers: DataFrame, run: Column) -> DataFrame:
-    """run, papers, authors (sketch of author ids) and lengths (sketch of abstract lengths)."""
-    per_paper = papers.select(run.alias("run"), "authors", F.length("abstract").cast("long").alias("length"))
+def sketches(papers: DataFrame, run: Column, length: Column | None = None) -> DataFrame:
+    """run, papers, authors (sketch of author ids) and lengths (sketch of abstract lengths, unless ``length`` says
+    where they are measured already). ``papers`` is read twice."""
+    length = F.length("abstract") if length is None else length
+    per_paper = papers.select(run.alias("run"), "authors", length.cast("long").alias("length"))
     lengths = per_paper.groupBy("run").agg(
         F.count("*").alias("papers"), F.kll_sketch_agg_bigint("length", KLL_SIZE).alias("lengths"))
     people = per_paper.select("run", F.explode_outer("authors").alias("author"))

@@ -6,6 +6,7 @@ import pytest
 
 import driver_queries
 from papyra import fixtures as fx
+from papyra.operators import drift, network
 from papyra.plans import landing
 from papyra.sources import lines
 
@@ -59,3 +60,28 @@ def test_written_inputs_are_compressed(spark, tables, tmp_path):
     assert lines.read_landing(spark, root, "1996-01-01", "1996-02-01").count() == 0
     found = lines.landing_records(lines.read_landing(spark, root, "1996-01-01", "1996-02-01", glob="*.json.gz"))
     assert found.count() == sent.count() == 14 and all(f.endswith(".json.gz") for f in found.inputFiles())
+
+
+def test_rounds_of_the_rank_shuffle_numbers_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(network, "scratch", lambda spark, name: f"{tmp_path}/{name}")
+    rows = spark.createDataFrame(
+        [("p", "1", "a"), ("p", "1", "b"), ("p", "1", "b"), ("p", "2", "c"), ("q", "1", "a"), (None, "3", "a"), ("p", None, "a")],
+        "period string, paper_id string, author_id string")
+    found = {(r.period, r.author_id): (r.papers, round(r["rank"], 9)) for r in network.rank(rows, 3).collect()}
+    assert found == {("p", "a"): (1, 1.0), ("p", "b"): (1, 1.0), ("p", "c"): (1, 0.15), ("q", "a"): (1, 0.15)}
+    rounds = [spark.read.parquet(str(f)).dtypes for f in sorted((tmp_path / "rank").iterdir())]
+    assert len(rounds) == 8 and all(kind != "string" for r in rounds[4:] for _, kind in r)
+
+
+@pytest.mark.parametrize("name", ["fk_check", "profile_bounds"])
+def test_papers_that_are_read_often_are_made_once(spark, tables, name):
+    frame = driver_queries.registry()[name](spark, tables)
+    assert frame.count() > 0 and not any("orders.parquet" in f for f in frame.inputFiles())
+
+
+def test_lengths_may_be_measured_before(spark):
+    papers = spark.createDataFrame(
+        [("r", [("a", "b")], "xy", 2), ("r", None, None, None)],
+        "run string, authors array<struct<last_name string, first_name string>>, abstract string, n int")
+    run = lambda *length: drift.estimates(drift.sketches(papers, papers["run"], *length)).collect()
+    assert run(papers["n"]) == run()
