@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,24 +57,35 @@ def institution_rank(papers: DataFrame) -> DataFrame:
     return totals.withColumn("position", F.rank().over(order))
 
 
+def _shares_of(probe: frozenset[str]):
+    """Batches of paper_id and text to paper_id and score, for papers that share a word with the probe."""
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, found = [], []
+            for paper, told in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                # white space is the same as in ``text.words``
+                words = set(told.split())
+                shared = len(words & probe)
+                if shared:
+                    ids.append(paper)
+                    found.append(shared / (len(words) + len(probe) - shared))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(found, pa.float64())], ["paper_id", "score"])
+
+    return scores
+
+
 def similar_papers(papers: DataFrame, paper_id: str, limit: int = 10) -> DataFrame:
     """Papers nearest to one paper by shared words of title and abstract (Jaccard share).
 
-    One scan: the word set of the probe, a single row, is the only thing sent around. Ties go to
-    the smaller id.
+    One scan: the word set of the probe, a single row, is read first and sent around. The words of a paper are counted
+    in the scan's own tasks. Ties go to the smaller id.
     """
-    terms = F.array_distinct(text.words(F.lower(F.concat_ws(" ", "title", "abstract"))))
-    sets = papers.select("paper_id", terms.alias("terms"))
-    probe = sets.filter(F.col("paper_id") == paper_id).select(F.max("terms")).scalar()
-    # counted once per paper: the score filter stays above the generator
-    counts = F.struct(
-        F.size(F.array_intersect("terms", probe)).alias("shared"),
-        (F.size("terms") + F.size(probe)).alias("both"),
-    )
-    counted = sets.filter(F.col("paper_id") != paper_id).select("paper_id", F.inline(F.array(counts)))
-    score = F.try_divide(F.col("shared"), F.col("both") - F.col("shared"))
-    scored = counted.select("paper_id", score.alias("score"))
-    return scored.filter("score > 0").orderBy(F.desc("score"), "paper_id").limit(limit)
+    told = papers.select("paper_id", F.lower(F.concat_ws(" ", "title", "abstract")).alias("told"))
+    terms = F.array_distinct(text.words(F.col("told")))
+    probe = told.filter(F.col("paper_id") == paper_id).select(F.max(terms)).first()[0]
+    scored = told.filter(F.col("paper_id") != paper_id).mapInArrow(
+        _shares_of(frozenset(probe or ())), "paper_id string, score double")
+    return scored.orderBy(F.desc("score"), "paper_id").limit(limit)
 
 
 def quality_drift(history: DataFrame, runs: int = 3, tolerance: float = 5.0) -> DataFrame:
