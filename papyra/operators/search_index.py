@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyra.operators.lookups import papers_by_author
+from papyra.session import freed_shuffles
 
 GRAM = 3
 SCHEMA = "gram string, paper_id string, part int"
@@ -25,18 +26,29 @@ def _grams(name: Column) -> Column:
     return F.when(F.length(name) >= GRAM, F.array_distinct(F.transform(starts, lambda i: F.substr(name, i, F.lit(GRAM)))))
 
 
+def postings(papers: DataFrame, parts: int = 64) -> DataFrame:
+    """gram, paper_id and part: one row per paper and different gram of its author names, in order in each task.
+
+    The grams of a paper are made different within its row, and one shuffle, by part and a slice of the paper ids, brings
+    what is left together: the same posting of a paper that comes again, and all that a file holds. A part has as many
+    slices as tasks are left for it, so a gram that very many papers share is spread over several tasks.
+    """
+    slices = max(1, int(papers.sparkSession.conf.get("spark.sql.shuffle.partitions")) // parts)
+    names = F.filter(F.array_distinct(F.flatten(F.transform(
+        "authors", lambda a: F.array(F.lower(a["last_name"]), F.lower(a["first_name"]))))), F.isnotnull)
+    grams = F.array_distinct(F.flatten(F.filter(F.transform(names, _grams), F.isnotnull)))
+    every = papers.select("paper_id", F.explode(grams).alias("gram")).select(
+        "gram", "paper_id", _part(F.col("gram"), parts).alias("part"),
+        F.pmod(F.xxhash64("paper_id"), F.lit(slices)).alias("slice"))
+    once = every.repartition("part", "slice").dropDuplicates(["part", "slice", "gram", "paper_id"])
+    return once.select("gram", "paper_id", "part").sortWithinPartitions("part", "gram", "paper_id")
+
+
 def write_index(papers: DataFrame, path: str, parts: int = 64) -> None:
-    """One row per paper and different gram of its author names. A gram that very many papers share
-    is spread over several tasks."""
-    names = F.array_distinct(F.flatten(F.transform(
-        "authors", lambda a: F.array(F.lower(a["last_name"]), F.lower(a["first_name"])))))
-    named = papers.select("paper_id", F.explode(names).alias("name")).filter("name IS NOT NULL")
-    postings = named.select("paper_id", F.explode(_grams(F.col("name"))).alias("gram")).distinct()
-    placed = postings.select("gram", "paper_id", _part(F.col("gram"), parts).alias("part"))
-    (
-        placed.hint("rebalance", "part").sortWithinPartitions("part", "gram", "paper_id")
-        .write.mode("overwrite").partitionBy("part").parquet(f"{path}/parts={parts}")
-    )
+    """The postings in folders by part."""
+    with freed_shuffles(papers.sparkSession):
+        postings(papers, parts).write.mode("overwrite").option("compression", "zstd").partitionBy("part").parquet(
+            f"{path}/parts={parts}")
 
 
 def candidates(spark: SparkSession, path: str, needle: str, parts: int = 64) -> DataFrame | None:
@@ -47,9 +59,9 @@ def candidates(spark: SparkSession, path: str, needle: str, parts: int = 64) ->
         return None
     own = spark.createDataFrame([(g,) for g in grams], "gram string").select(_part(F.col("gram"), parts).alias("part"))
     folders = sorted({r.part for r in own.collect()})
-    postings = spark.read.schema(SCHEMA).parquet(f"{path}/parts={parts}").filter(
+    found = spark.read.schema(SCHEMA).parquet(f"{path}/parts={parts}").filter(
         F.col("part").isin(folders) & F.col("gram").isin(grams))
-    return postings.groupBy("paper_id").agg(F.count("*").alias("n")).filter(F.col("n") == len(grams)).select("paper_id")
+    return found.groupBy("paper_id").agg(F.count("*").alias("n")).filter(F.col("n") == len(grams)).select("paper_id")
 
 
 def search(papers: DataFrame, path: str, needle: str, limit: int = 100, parts: int = 64) -> DataFrame:
